@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmill.llm import simhash as _simhash
+from grainmill.llm import pii as _pii
+from grainmill.llm import pu_quality as _pu
 from grainmill.llm import sharding as _sharding
 from grainmill.llm.common import load
 from grainmill.llm.oracles import ORACLES  # noqa: F401
@@ -23,4 +25,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
 
 
-QUERIES = {"op2_sharding": op2_sharding, "op8_simhash": op8_simhash}
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _pii.detect(load(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{_pii.KINDS[k]}")
+    return found.select(
+        F.col("id").alias("doc_id"), *map(count, range(4)), F.sha2(_pii.join_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"), _pii.join_spans(F.col("spans")).alias("spans")
+    )
+
+
+def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _pu.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"op2_sharding": op2_sharding, "op8_simhash": op8_simhash, "op9_pii": op9_pii, "op10_pu_quality": op10_pu_quality}
