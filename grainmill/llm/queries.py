@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm import mixing as _mixing
+from grainmill.llm import pieces as _pieces
 from grainmill.llm import simhash as _simhash
 from grainmill.llm import pii as _pii
 from grainmill.llm import pu_quality as _pu
@@ -38,4 +41,26 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op2_sharding": op2_sharding, "op8_simhash": op8_simhash, "op9_pii": op9_pii, "op10_pu_quality": op10_pu_quality}
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document, decode the ids again and report both."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = _pieces.decode_documents(_pieces.encode_documents(load(spark, sf_dir, "documents"), model), model)
+    decoded = F.crc32(F.encode("decoded", "UTF-8"))
+    return back.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), "text_crc32", decoded.alias("decoded_crc32"), (decoded == F.col("text_crc32")).alias("exact")
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = _mixing.mix(load(spark, sf_dir, "documents"), temper=0.7, share=0.6, seed=7)
+    return mixed.select(F.col("row.doc_id").alias("doc_id"), "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+
+
+QUERIES = {
+    "op2_sharding": op2_sharding,
+    "op4_pieces": op4_pieces,
+    "op7_mixing": op7_mixing,
+    "op8_simhash": op8_simhash,
+    "op9_pii": op9_pii,
+    "op10_pu_quality": op10_pu_quality,
+}
