@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,8 @@ from grainmill.llm import simhash as _simhash
 from grainmill.llm import pii as _pii
 from grainmill.llm import pu_quality as _pu
 from grainmill.llm import sharding as _sharding
-from grainmill.llm.common import load
+from grainmill.llm import token_files as _files
+from grainmill.llm.common import load, scratch_root
 from grainmill.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -51,6 +54,12 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_root(spark)}/token-files-{uuid.uuid4().hex}"
+    _files.write_token_files(load(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return _files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = _mixing.mix(load(spark, sf_dir, "documents"), temper=0.7, share=0.6, seed=7)
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
@@ -59,6 +68,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_pieces": op4_pieces,
+    "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
