@@ -13,6 +13,7 @@ from grainmill.llm import pieces as _pieces
 from grainmill.llm import simhash as _simhash
 from grainmill.llm import pii as _pii
 from grainmill.llm import pu_quality as _pu
+from grainmill.llm import quality_rules as _rules
 from grainmill.llm import sharding as _sharding
 from grainmill.llm import token_files as _files
 from grainmill.llm.common import load, scratch_root
@@ -54,6 +55,11 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = _rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/token-files-{uuid.uuid4().hex}"
     _files.write_token_files(load(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -68,6 +74,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_pieces": op4_pieces,
+    "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
