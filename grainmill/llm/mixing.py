@@ -34,17 +34,26 @@ REST = "\x00rest"
 NULL = "\x00null"
 
 
+SPACE = "[\\x20\\x09-\\x0D]"
+
+
 def token_count(text: F.Column) -> F.Column:
     """Number of words separated by ASCII white space."""
-    flat = F.translate(text, "\t\n\x0b\x0c\r", "     ")
-    squeezed = F.trim(F.regexp_replace(flat, " {2,}", " "))
-    return F.when(F.coalesce(squeezed, F.lit("")) == "", 0).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "), F.lit(""))) + 1).cast("long")
+    pieces = F.size(F.split(text, f"{SPACE}+", -1))
+    ends = text.rlike(f"\\A{SPACE}").cast("int") + F.substring(text, -1, 1).rlike(SPACE).cast("int")
+    return F.when(F.octet_length(F.trim(text)) == 0, 0).when(pieces == ends, 0).otherwise(pieces - ends).cast("long")
 
 
 def surface_topic(text: F.Column) -> F.Column:
     """tabular, shouted, marked, brief or running: how a text is written."""
-    n = F.greatest(F.length(text), F.lit(1))
-    count = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
+    n = F.greatest(F.octet_length(text), F.lit(1))
+
+    def count(chars: str) -> F.Column:
+        bare = text
+        for c in chars:
+            bare = F.replace(bare, F.lit(c), F.lit(""))
+        return F.octet_length(text) - F.octet_length(bare)
+
     return (
         F.when(count("|") * 40 > n, "tabular")
         .when(count("!") * 20 > n, "shouted")

@@ -43,4 +43,27 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (place % 8)::INTEGER AS shard, p
 FROM sized JOIN placed USING (row_no)
 """
 
-ORACLES: dict[str, str] = {"op2_sharding": _OP2}
+_OP1 = """
+WITH RECURSIVE good AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+    ),
+    reach AS (
+        SELECT vec_id AS x, vec_id AS y FROM embeddings
+        UNION
+        SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+    ),
+    part AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+    counted AS (SELECT x AS vec_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN part USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_vector_dedup": _OP1, "op2_sharding": _OP2}

@@ -16,10 +16,15 @@ from grainmill.llm import pu_quality as _pu
 from grainmill.llm import quality_rules as _rules
 from grainmill.llm import sharding as _sharding
 from grainmill.llm import token_files as _files
+from grainmill.llm import vector_dedup as _vectors
 from grainmill.llm.common import load, scratch_root
 from grainmill.llm.oracles import ORACLES  # noqa: F401
 
 
+def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vectors.vector_dedup(load(spark, sf_dir, "embeddings"), cosine=0.98).withColumnRenamed("id", "vec_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _sharding.shard_rows(load(spark, sf_dir, "documents"), shards=8, seed=20)
     return placed.select(
@@ -72,6 +77,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_vector_dedup": op1_vector_dedup,
     "op2_sharding": op2_sharding,
     "op4_pieces": op4_pieces,
     "op5_quality_rules": op5_quality_rules,
