@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.llm import lm_score as _lm
 from grainmill.llm import mixing as _mixing
 from grainmill.llm import pieces as _pieces
 from grainmill.llm import simhash as _simhash
@@ -32,6 +33,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the trusted ones among them; figures are rounded to six places."""
+    docs = load(spark, sf_dir, "documents")
+    found = _lm.cross_entropy_difference(docs, _lm.labelled_target(docs, load(spark, sf_dir, "labels")))
+    figures = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")]
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", *figures, "kept")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _simhash.simhash_dedup(load(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
@@ -79,6 +88,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_vector_dedup": op1_vector_dedup,
     "op2_sharding": op2_sharding,
+    "op3_lm_score": op3_lm_score,
     "op4_pieces": op4_pieces,
     "op5_quality_rules": op5_quality_rules,
     "op6_token_files": op6_token_files,
