@@ -125,26 +125,54 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer)
         self.limit = cache_words
+        # Tokens are written with one character for each of their bytes.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         self.after: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _learn(self, fresh: list[str], rows: int = 4096) -> None:
+        """Put the ids of pieces into the cache: many in one text, cut where their bytes end."""
+        for i in range(0, len(fresh), rows):
+            some = fresh[i : i + rows]
+            spaced = [f" {w}" for w in some]
+            ids = np.array(self.tokenizer.encode("".join(spaced), add_special_tokens=False).ids, dtype="<u4")
+            ends, want = np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in spaced])
+            at = np.searchsorted(ends, want)
+            if at[-1] < len(ends) and (ends[at] == want).all():
+                blob, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+                self.after.update((w, blob[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))  # noqa: B905
+            else:
+                self.after.update(zip(some, self._library(spaced), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.after) > self.limit:
-            self.after.clear()
         whole = [i for i, t in enumerate(texts) if not self.plain or _ODD_SPACE.search(t) or any(s in t for s in self.special)]
         done = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True))
-        parts = [t.split(" ") if i not in done else [] for i, t in enumerate(texts)]
-        heads = [i for i, p in enumerate(parts) if p and p[0]]
-        first = dict(zip(heads, self._library([parts[i][0] for i in heads]), strict=True))
-        fresh = list(set().union(*(p[1:] for p in parts)) - self.after.keys()) if parts else []
-        self.after.update(zip(fresh, self._library([f" {w}" for w in fresh]), strict=True))
-        get = self.after.__getitem__
-        return [done[i] if i in done else first.get(i, b"") + b"".join(map(get, p[1:])) for i, p in enumerate(parts)]
-
-
-def load_encoder(tokenizer_path: str, cache_words: int = 400_000) -> Encoder:
+        found, heads, missing = {}, {}, []
+        for i, t in enumerate(texts):
+            if i in done:
+                continue
+            head, *rest = t.split(" ")
+            if head:
+                heads[i] = head
+            got = list(map(self.after.get, rest))
+            found[i] = got
+            if None in got:
+                missing += [(i, k, rest[k]) for k, g in enumerate(got) if g is None]
+        self._learn(list({w for _, _, w in missing}))
+        for i, k, w in missing:
+            found[i][k] = self.after[w]
+        if len(self.after) > self.limit:  # frequent pieces are among those of any batch
+            self.after = {w: g for i, got in found.items() for w, g in zip(texts[i].split(" ")[1:], got, strict=True)}
+        first = dict(zip(heads, self._library(list(heads.values())), strict=True))
+        return [done[i] if i in done else first.get(i, b"") + b"".join(found[i]) for i in range(len(texts))]
+
+
+def load_encoder(tokenizer_path: str, cache_words: int = 800_000) -> Encoder:
     cache = worker_cache("encoders")
     if tokenizer_path not in cache:
         cache[tokenizer_path] = Encoder(tokenizer_path, cache_words)
