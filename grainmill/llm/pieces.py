@@ -14,8 +14,8 @@ whose border with it no merge crosses. Whether two pieces can stand side by side
 from their own merges and is remembered. So the ids are those of the library for either
 kind; words where merges tie in rank (runs of marks) are merged directly.
 
-Words are cached in the worker up to ``cache_words`` (beyond it the cache starts anew; ids
-do not depend on it). Decoding joins pieces and byte pieces and turns marks into spaces.
+Words are cached in the worker up to ``cache_words`` (beyond it those of the batch at hand
+stay; ids do not depend on it). Decoding joins pieces and byte pieces and turns marks into spaces.
 
 Defined cases: null and empty texts have no ids and decode to an empty text; U+2581 in a
 text decodes to a space, as in the library; characters without a piece become byte pieces,
@@ -43,7 +43,7 @@ _UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 class Pieces:
     """A vocabulary: ids, ranks or scores, and the forward pass over sorted words."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], bytes_: list[int], unknown: int, kind: str, dummy_prefix: bool, cache_words: int = 400_000):
+    def __init__(self, pieces: dict[str, tuple[int, float]], bytes_: list[int], unknown: int, kind: str, dummy_prefix: bool, cache_words: int = 800_000):
         self.pieces, self.bytes, self.unknown, self.kind, self.dummy = pieces, bytes_, unknown, kind, dummy_prefix
         self.longest = max(map(len, pieces), default=1)
         self.words: dict[str, bytes] = {}
@@ -200,10 +200,11 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        if len(self.words) > self.limit:
-            self.words.clear()
         split = [self.units(t) for t in texts]
-        fresh = set().union(*split) - self.words.keys() if split else set()
+        seen = set().union(*split)
+        if len(self.words) > self.limit:  # frequent words are among those of any batch
+            self.words = {w: self.words[w] for w in seen if w in self.words}
+        fresh = {w for w in seen if w not in self.words}
         self.learn(fresh)
         get = self.words.__getitem__
         return [b"".join(map(get, units)) for units in split]
@@ -268,7 +269,7 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
         for batch in batches:
             texts = []
             for ids in batch.column(2):
-                raw = b"".join(map(table.__getitem__, ids.values.to_pylist() if ids.is_valid else []))
+                raw = b"".join(map(table.__getitem__, ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []))
                 texts.append((raw[1:] if dummy and raw[:1] == b" " else raw).decode("utf-8", "replace"))
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=["id", "text_crc32", "ids", "decoded"])
 
