@@ -39,21 +39,30 @@ SEED = 42
 BLOCK = 1 << 15
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The unsigned 64-bit SimHash of one text."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The hashes of a text's word shingles; a shorter text is one shingle, one without words has none."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     if len(words) < shingle:
         pieces, n = iter([b" ".join(words)]), 1
     else:
         pieces, n = map(b" ".join, zip(*(words[i:] for i in range(shingle)))), len(words) - shingle + 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), dtype="<u8", count=n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), dtype="<u8", count=n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
     ones = np.zeros(64, dtype=np.int64)
-    for i in range(0, n, BLOCK):
+    for i in range(0, len(hashes), BLOCK):
         part = np.ascontiguousarray(hashes[i : i + BLOCK]).view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The unsigned 64-bit SimHash of one text."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
