@@ -232,7 +232,7 @@ def zip_longest(spark: SparkSession, sf: str) -> DataFrame:
 # -------------------------------------------------------------- training rows
 def _trained(spark: SparkSession, sf: str) -> DataFrame:
     rows = _talks(spark, sf).select("conv_id", F.transform("turns", lambda t: F.struct(t["from"].alias("role"), t["value"].alias("content"))).alias("messages"))
-    return chat.training_rows(rows, max_len=64)
+    return chat.training_rows(rows, max_len=2048)
 
 
 def render_chat(spark: SparkSession, sf: str) -> DataFrame:
