@@ -90,13 +90,12 @@ def augment_anti_join(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ the build
 def build(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean, gate, keep the first of each key, cap by language, wrap as chat, split."""
+    """Clean, gate, keep the first of each key, wrap as chat, split."""
     rows = _docs(spark, sf).select("doc_id", "lang", "source", text.clean("text").alias("assistant"))
     good = rows.where(text.quality_ok("assistant")).where(text.is_sfw("assistant"))
     first = selection.first_wins(good.withColumn("key", text.norm_key("assistant")), "key", ["lang", "doc_id"])
-    capped = selection.cap(first, CAP, ["lang"], ["doc_id"])
     license = F.when(F.col("source") != "src3", F.col("source"))
-    shaped = capped.select("doc_id", "lang", F.concat(F.lit("Continue: "), text.head("assistant", 40)).alias("user"), "assistant", adapters.meta(source=F.col("source"), slice=F.col("lang"), license=license).alias("meta"))
+    shaped = first.select("doc_id", "lang", F.concat(F.lit("Continue: "), text.head("assistant", 40)).alias("user"), "assistant", adapters.meta(source=F.col("source"), slice=F.col("lang"), license=license).alias("meta"))
     return selection.split(chat.wrap(shaped, PROMPTS, "lang"), "doc_id", SEED)
 
 

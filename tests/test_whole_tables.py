@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections import Counter
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 from grainmill.plans import catalogue
+from grainmill.plans import twins as q
 
 
 def twin(path, table, sql):
@@ -29,3 +32,19 @@ def test_masked_rows_are_cut_at_2048_tokens(spark, tmp_path):
     for name in ("mask_labels", "pad_batch"):
         got = Counter(map(tuple, catalogue.QUERIES[name](spark, str(tmp_path)).collect()))
         assert got == twin(tmp_path, "conversations", catalogue.ORACLES[name].replace("[1:64]", "[1:2048]"))
+
+
+@pytest.fixture(scope="module")
+def one_language(spark, tmp_path_factory):
+    """Driver texts as one language with more good rows than the cap of the first round."""
+    path = tmp_path_factory.mktemp("one")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("lang", F.lit("en"))
+    docs.write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+def test_the_build_has_no_cap(spark, one_language):
+    built = f"{q.build(catalogue.PROMPTS, 10**12, catalogue.SEED)} SELECT doc_id, place, total, split FROM built"
+    want = twin(one_language, "documents", built)
+    got = Counter(map(tuple, catalogue.shuffle_split(spark, str(one_language)).collect()))
+    assert got == want and sum(got.values()) > catalogue.CAP
