@@ -9,13 +9,13 @@ draw is a hash of the seed and the id, so any rerun or any split of the data kee
 rows.
 
 Targets default to the tempered shares of the corpus (share ** temper, renormalised): small
-sources and languages are raised, the topic marginal is kept. Values of a dimension beyond
-the ``max_values`` with the most tokens are raked together as one group, so the table of
-cells that raking works on, and that is broadcast, has a fixed bound; their rows stay.
+sources and languages are raised, the topic marginal is kept. Every value of a dimension
+keeps its own marginal. If no dimension has more than ``max_values`` values, raking runs on
+the driver over the collected cells; else the same rounds run over a table of cells, with
+sums by axis and joins, written to the shared folder after each round.
 
 Topics come from a column expression; the default tells tabular, shouted, marked-up,
-brief and running text apart by their marks. DataFrame functions only; raking itself runs
-on the driver over the bounded table of cells.
+brief and running text apart by their marks. DataFrame functions only.
 
 Defined cases: null source, language or topic is a value of its own; null text has no
 tokens, and cells without tokens get weight 1; null ids share one draw and equal ids draw
@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainmill.llm.common import materialize
+
 DIMENSIONS = ("source", "lang", "topic")
-REST = "\x00rest"
 NULL = "\x00null"
 
 
@@ -108,9 +109,61 @@ def calibrate(tokens: dict[tuple, float], weights: dict[tuple, float], share: fl
     return {c: 0.0 if weights[c] <= 0 else min(1.0, k * weights[c]) for c in tokens}
 
 
-def _groups(known: DataFrame, column: str, max_values: int) -> list[str]:
-    top = known.groupBy(column).agg(F.sum("n").alias("t")).orderBy(F.desc("t"), column).limit(max_values)
-    return [r[0] for r in top.collect()]
+def _raked_on_driver(cells: DataFrame, targets: dict[str, dict[str, float]], temper: float, share: float) -> DataFrame:
+    """(source, lang, topic, weight, probability) of every cell, by `rake` and `calibrate`."""
+    sums = {tuple(r[d] for d in DIMENSIONS): float(r["n"]) for r in cells.collect()}
+    goals = []
+    for axis, d in enumerate(DIMENSIONS):
+        along: dict = {}
+        for c, v in sums.items():
+            along[c[axis]] = along.get(c[axis], 0.0) + v
+        goals.append(targets.get(d) or tempered(along, 1.0 if d == "topic" else temper))
+    raked = rake(sums, goals)
+    weights = {c: raked.get(c, 0.0) / v if v else 1.0 for c, v in sums.items()}
+    chance = calibrate(sums, weights, share)
+    schema = T.StructType([*[T.StructField(d, T.StringType()) for d in DIMENSIONS], T.StructField("weight", T.DoubleType()), T.StructField("probability", T.DoubleType())])
+    return F.broadcast(cells.sparkSession.createDataFrame([(*c, float(weights[c]), float(chance[c])) for c in sums], schema))
+
+
+def _raked_in_tables(cells: DataFrame, targets: dict[str, dict[str, float]], temper: float, share: float, rounds: int = 200, tolerance: float = 1e-10) -> DataFrame:
+    """The same as `_raked_on_driver`, with no table of cells or values on the driver."""
+    spark = cells.sparkSession
+    total = float(cells.agg(F.sum("n")).first()[0] or 0)
+    now = materialize(cells.where("n > 0").select(*DIMENSIONS, (F.col("n") / F.lit(total or 1.0)).alias("v")), "raked")
+    goals = {}
+    for d in DIMENSIONS:
+        along = now.groupBy(d).agg(F.sum("v").alias("s"))
+        if targets.get(d):
+            given = spark.createDataFrame([(g, float(t)) for g, t in targets[d].items()], f"{d} string, goal double")
+            along = along.join(given, d, "left").select(d, F.coalesce("goal", F.lit(0.0)).alias("goal"))
+        else:
+            along = along.select(d, F.pow("s", F.lit(1.0 if d == "topic" else temper)).alias("goal"))
+        along = materialize(along, "goals")
+        whole = along.agg(F.sum("goal")).first()[0] or 1.0
+        goals[d] = along.select(d, (F.col("goal") / F.lit(whole)).alias("goal"))
+    for _ in range(rounds):
+        step = now.select(*DIMENSIONS, "v", F.lit(0.0).alias("worst"))
+        for d in DIMENSIONS:
+            factor = step.groupBy(d).agg(F.sum("v").alias("s")).join(goals[d], d).select(d, F.when(F.col("s") > 0, F.col("goal") / F.col("s")).otherwise(0.0).alias("f"))
+            far = F.when(F.col("f") != 0, F.abs(F.col("f") - 1)).otherwise(0.0)
+            step = step.join(factor, d).select(*DIMENSIONS, (F.col("v") * F.col("f")).alias("v"), F.greatest("worst", far).alias("worst"))
+        now = materialize(step, "raked")
+        if (now.agg(F.max("worst")).first()[0] or 0.0) < tolerance:
+            break
+    weight = F.when(F.col("n") > 0, F.coalesce("v", F.lit(0.0)) * F.lit(total) / F.col("n")).otherwise(1.0)
+    weighed = materialize(cells.join(now, list(DIMENSIONS), "left").select(*DIMENSIONS, "n", weight.alias("weight")), "weighed")
+    k, full = 0.0, -1.0
+    while True:  # the cells of probability one only grow in number
+        over = F.col("weight") * F.lit(k) > 1
+        row = weighed.agg(F.coalesce(F.sum(F.when(over, F.col("n"))), F.lit(0)).alias("full"), F.coalesce(F.sum(F.when(~over, F.col("n") * F.col("weight"))), F.lit(0.0)).alias("rest")).first()
+        if row["full"] == full:
+            break
+        full = row["full"]
+        k = (share * total - full) / row["rest"] if row["rest"] > 0 else float("inf")
+        if k == float("inf"):
+            break
+    chance = F.when(F.col("weight") <= 0, 0.0).otherwise(F.least(F.lit(1.0), F.lit(k) * F.col("weight")))
+    return weighed.select(*DIMENSIONS, "weight", chance.alias("probability"))
 
 
 def mix(
@@ -131,7 +184,6 @@ def mix(
     ``row`` is the input row as a struct. ``targets`` maps a dimension to shares by value;
     dimensions without targets use tempered shares (the topic keeps its own).
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     source = F.col("`source`") if source is None else source
     lang = F.col("`lang`") if lang is None else lang
@@ -141,27 +193,9 @@ def mix(
         F.coalesce(source.cast("string"), F.lit(NULL)).alias("source"), F.coalesce(lang.cast("string"), F.lit(NULL)).alias("lang"), F.coalesce(topic.cast("string"), F.lit(NULL)).alias("topic"),
         token_count(text).alias("n_tokens"),
     )
-    cells = named.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n")).persist()
-    try:
-        kept_values = {d: _groups(cells, d, max_values) for d in DIMENSIONS}
-        grouped = lambda d: F.when(F.col(d).isin(kept_values[d]), F.col(d)).otherwise(F.lit(REST))
-        # At most (max_values + 1) ** 2 times the number of topics, and no more than occur.
-        sums = {tuple(r[d] for d in DIMENSIONS): float(r["n"]) for r in cells.groupBy(*[grouped(d).alias(d) for d in DIMENSIONS]).agg(F.sum("n").alias("n")).collect()}
-    finally:
-        cells.unpersist()
-    goals = []
-    for axis, d in enumerate(DIMENSIONS):
-        along: dict = {}
-        for c, v in sums.items():
-            along[c[axis]] = along.get(c[axis], 0.0) + v
-        given = (targets or {}).get(d)
-        goals.append(given if given else tempered(along, 1.0 if d == "topic" else temper))
-    raked = rake(sums, goals)
-    weights = {c: raked.get(c, 0.0) / v if v else 1.0 for c, v in sums.items()}
-    chance = calibrate(sums, weights, share)
-    schema = T.StructType([*[T.StructField(f"g_{d}", T.StringType()) for d in DIMENSIONS], T.StructField("weight", T.DoubleType()), T.StructField("probability", T.DoubleType())])
-    plan = spark.createDataFrame([(*c, float(weights[c]), float(chance[c])) for c in sums], schema)
-    keyed = named.select("*", *[grouped(d).alias(f"g_{d}") for d in DIMENSIONS])
+    cells = materialize(named.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n")), "cells")
+    many = max(cells.agg(*[F.count_distinct(d) for d in DIMENSIONS]).first())
+    plan = (_raked_on_driver if many <= max_values else _raked_in_tables)(cells, targets or {}, temper, share)
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce("key", F.lit("null")))), 1, 13), 16, 10).cast("double") / float(1 << 52)
     restore = lambda d: F.when(F.col(d) != NULL, F.col(d)).alias(d)
-    return keyed.join(F.broadcast(plan), [f"g_{d}" for d in DIMENSIONS]).select("row", *[restore(d) for d in DIMENSIONS], "n_tokens", "weight", "probability", (draw < F.col("probability")).alias("kept"))
+    return named.join(plan, list(DIMENSIONS)).select("row", *[restore(d) for d in DIMENSIONS], "n_tokens", "weight", "probability", (draw < F.col("probability")).alias("kept"))
