@@ -67,3 +67,10 @@ def test_the_dedup_stage_matches_brute_force(spark):
     rows = planted()
     left = corpus_pipeline.simhash_near_dedup(spark, documents(spark, rows), "").collect()
     assert sorted(r["doc_id"] for r in left) == sorted(brute_kept(rows))
+
+
+def test_a_repeated_id_loses_no_text_of_its_own(spark):
+    other, copy, alone = (" ".join(f"{k}{i}" for i in range(100)) for k in "abc")
+    rows = [(1, other), (7, other + " more"), (7, alone), (7, alone), (7, copy), (None, copy)]
+    left = corpus_pipeline.simhash_near_dedup(spark, documents(spark, rows), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(1, other), (7, alone), (7, copy), (0, copy)])
