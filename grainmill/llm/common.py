@@ -44,10 +44,17 @@ def null_safe_text(column: str) -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def worker_cache(name: str) -> dict:
-    """A dict that lives as long as this Python worker, for loaded models and word caches."""
+def worker_cache(name: str = "") -> dict:
+    """A dict that lives as long as this Python worker, for loaded models and word caches.
+
+    Workers serve one operator after another, so asking for one cache drops all others;
+    code that keeps nothing calls it without a name.
+    """
     import sys
     import types
 
     home = sys.modules.setdefault("_grainmill_worker_cache", types.ModuleType("_grainmill_worker_cache"))
-    return home.__dict__.setdefault(name, {})
+    held = home.__dict__.setdefault("held", {})
+    for other in [k for k in held if k != name]:
+        del held[other]
+    return held.setdefault(name, {}) if name else {}

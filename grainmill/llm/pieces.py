@@ -43,7 +43,7 @@ _UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 class Pieces:
     """A vocabulary: ids, ranks or scores, and the forward pass over sorted words."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], bytes_: list[int], unknown: int, kind: str, dummy_prefix: bool, cache_words: int = 500_000):
+    def __init__(self, pieces: dict[str, tuple[int, float]], bytes_: list[int], unknown: int, kind: str, dummy_prefix: bool, cache_words: int = 400_000):
         self.pieces, self.bytes, self.unknown, self.kind, self.dummy = pieces, bytes_, unknown, kind, dummy_prefix
         self.longest = max(map(len, pieces), default=1)
         self.words: dict[str, bytes] = {}
@@ -100,7 +100,7 @@ class Pieces:
         """Whether BPE of a + b is [a, b]: no merge of either side's history reaches across."""
         known = self.valid.get((a, b))
         if known is None:
-            if len(self.valid) > 2_000_000:
+            if len(self.valid) > 1_000_000:
                 self.valid.clear()
             known = a not in self.rank or b not in self.rank or self._fits(a, b)
             self.valid[a, b] = known

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.common import materialize
+from grainmill.llm.common import materialize, worker_cache
 
 FEATURES = ("log_words", "upper", "digit", "symbol", "bang", "bar", "stops", "space", "lines", "distinct", "echo", "dup_lines", "word_len", "word_dev", "non_ascii", "tail_symbol", "capitalised", "short_line")
 _DIGITS, _SYMBOLS, _STOPS = b"0123456789", b"#*$%&|<>@^~{}[]\\_=+", b".,;:?"
@@ -63,6 +63,7 @@ def features(text: str | None) -> list[float]:
 
 def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache()
         for batch in batches:
             rows = np.array([features(t.as_py()) for t in batch.column(1)], dtype=np.float32).reshape(-1, len(FEATURES))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES)), pa.array(rows.ravel()))
@@ -182,6 +183,7 @@ def keep_predicted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     model = train(table, labels, id_col, label_col, sample_bound)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache()
         for batch in batches:
             texts = batch.column(batch.schema.names.index(text_col))
             rows = np.array([features(t.as_py()) for t in texts], dtype=np.float32).reshape(-1, len(FEATURES)).astype(np.float64)

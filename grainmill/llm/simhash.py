@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.llm.common import materialize
+from grainmill.llm.common import materialize, worker_cache
 from grainmill.llm.graph import connected_components
 
 SEED = 42
@@ -69,6 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp) with the fingerprint's bits in a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache()
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype="<u8").view("<i8")
             yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
