@@ -1,278 +1,360 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models, of target texts and of the background, share one vocabulary and one
-list of bigrams. Background counts are scaled to the size of the target, so both models
-are smoothed alike and the same relative counts give the same loss (matched models):
+Two bigram models, of target documents and of the background (all documents), share one
+vocabulary: every word of the background. Background counts are scaled to the size of the
+target, so both models are smoothed alike and the same relative counts give the same loss
+(matched models):
 
     p(w)   = (c(w) + a) / (N + a V)
-    p(w|v) = (c(v, w) + m p(w)) / (c(v, .) + m)
+    p(w|v) = (c(v, w) + m p(w)) / (c(v) + m)
 
-A document's score is the mean over its tokens of background loss minus target loss, in
+c(v) counts v wherever it stands, so what is missing to one is the chance that a text ends
+there; the start of a text is a context that occurs once in every text with words. A
+document's score is the mean over its tokens of background loss minus target loss, in
 nats: above zero it is more like the target than like the background.
 
-Tokens are words between ASCII white space. Counts run over all documents. A word or bigram
-is in the models if it makes up at least ``min_share`` of the background's tokens and occurs
-twice; other words are the unknown word, other bigrams are left to p(w). That is scale-free,
-and it bounds the models: at most 1 / ``min_share`` words and as many bigrams can reach the
-share, whatever the size of the corpus, so they can be broadcast.
+Tokens are words between ASCII white space. Every word and every bigram of every document
+is in the models, also those that occur once, so the models grow with the corpus, and no
+task and not the driver ever holds them as a whole:
 
-Counting pre-aggregates in the Python worker and again before the shuffle, so a frequent word
-is a few rows for each task. Scoring reads each text once more and shuffles nothing.
+1. Rows are told apart in *blocks*, runs of rows of a file of about the same size, of
+   `BLOCK_BYTES` at most (longer texts are blocks of their own).
+2. One pass hashes words and bigrams to 64-bit keys and counts them by block; a frequent
+   word is one entry of its block. Keys, cut into ranges (*buckets*), meet in one shuffle.
+3. A bucket adds up its counts and answers each block with the totals of its keys. Keys
+   that occur once in the corpus need no answer: their counts follow from the document.
+4. Answers and texts of a block meet, and each text is scored against its block's answers.
+
+The target is marked by block and place in the block (`marked`), so texts move only in
+step 4.
+
+Keys are compared by hash: among n words and bigrams about n * n / 2 ** 64 pairs share a
+key (2 ** 63 keys for each kind), and then share their counts.
 
 Defined cases: null, empty and blank texts have no tokens, null losses and a null score, and
-are not kept; repeated rows and ids count and are scored as rows of their own; without any
-target text the target model is uniform; an empty table gives an empty result; texts of any
-length are cut between words only while they are read; other columns are not read.
+are not kept; repeated rows and ids count and are scored as rows of their own, and a target
+id marks all of its rows; null ids are background; without any target text the target model
+is uniform; an empty table gives an empty result; very long texts are hashed in pieces cut
+between words, and a text's keys are held at once; other columns are not read.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.llm.common import materialize, worker_cache
 
-UNKNOWN, START, FIRST = 0, 1, 2
-#: Bytes of a text that are split at a time, words and bigrams that a worker holds before it hands on its counts.
-CHUNK, HELD_WORDS, HELD_BIGRAMS = 1 << 22, 500_000, 2_000_000
-
-
-def words(text: bytes | None) -> Iterator[list[bytes]]:
-    """The words of a whole text, in lists of bounded size."""
-    if not text:
-        return
-    if len(text) <= CHUNK:
-        yield text.split()
-        return
-    at = 0
-    while at < len(text):
-        end = min(len(text), at + CHUNK)
-        piece = text[at:end]
-        if end < len(text):
-            cut = max(piece.rfind(c) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
-            if cut < 0:  # a word longer than a chunk stays whole
-                nxt = [p for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (p := text.find(c, end)) >= 0]
-                end = min(nxt, default=len(text))
-                piece = text[at:end]
-            else:
-                end = at + cut + 1
-                piece = text[at:end]
-        yield piece.split()
-        at = end
-
-
-def _texts(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
+#: Text of a block, text hashed at a time, tokens held before counts are handed on or texts scored, and text for each bucket.
+BLOCK_BYTES, PIECE, HELD, BUCKET_BYTES = 1 << 26, 1 << 20, 1_500_000, 1 << 22
+#: The context before the first word. Words have even keys, bigrams odd ones.
+START = np.uint64(0x5374617274206F66 & ~1)
+_EVEN, _ONE = np.uint64(~np.uint64(1)), np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64)
+_COUNTS = "block long, keys binary, b binary, t binary, v long, nb long, nt long"
 
 
-def count_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """(word, n) partial counts."""
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending powers of the base and of its inverse, modulo 2 ** 64."""
+    cache = worker_cache("powers")
+    if n in cache:
+        return cache[n]
+    cache.clear()
+    up = np.full(n, _BASE, np.uint64)
+    down = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    cache[n] = np.cumprod(up), np.cumprod(down)
+    return cache[n]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            got = pa.record_batch([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-            held.clear()
-            return got
-
-        for batch in batches:
-            for text in batch.column(0):
-                for some in words(text.as_py()):
-                    held.update(some)
-                    if len(held) > HELD_WORDS:
-                        yield out()
-        yield out()
-
-    return _texts(docs, text_col).mapInArrow(run, "word binary, n long")
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(32))
 
-def _ids(text: bytes | None, vocabulary: dict[bytes, int]) -> np.ndarray:
-    get = vocabulary.get
-    parts = [np.fromiter(map(get, some, repeat(UNKNOWN)), dtype=np.int64, count=len(some)) for some in words(text)]
-    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
+def _hash(buffer: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word keys, words of each text) of texts that lie in ``buffer``, each with a space after it.
 
-def _keys(ids: np.ndarray) -> np.ndarray:
-    """One number for each token and the one before it."""
-    before = np.empty_like(ids)
-    before[:1] = START
-    before[1:] = ids[:-1]
-    return (before << np.int64(32)) | ids
-
-
-def _vocabulary(shared) -> dict[bytes, int]:
-    """The broadcast words as a dict, built once per worker."""
-    cache = worker_cache("vocabulary")
-    if shared.id not in cache:
-        cache.clear()
-        cache[shared.id] = {w: i for i, w in enumerate(shared.value, FIRST)}
-    return cache[shared.id]
+    A word's hash is its value as a polynomial, read off the running sums of the buffer.
+    """
+    raw = np.frombuffer(buffer, np.uint8)
+    up, down = _powers(max(PIECE + 1, len(raw)))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTES[raw] * up[: len(raw)], out=sums[1:])
+    edges = np.flatnonzero(np.diff(_SPACES[raw], prepend=True))
+    starts, ends = edges[::2], edges[1::2]
+    ends_of = np.cumsum(sizes)
+    words = np.diff(np.searchsorted(starts, ends_of), prepend=0)
+    return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)) & _EVEN, words
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A long text in pieces cut at white space; a word longer than a piece stays whole."""
+    at = 0
+    while at < len(text):
+        end = at + PIECE
+        while end < len(text) and not _SPACES[text[end]]:
+            end += 1
+        yield text[at:end]
+        at = end
 
 
-@dataclass
-class _Words:
-    """A broadcast list of words and a name for it that differs between models."""
+def word_keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of all words in order, words of each text)."""
+    keys: list[np.ndarray] = []
+    words = np.zeros(len(texts), np.int64)
+    held: list[int] = []
+    size = 0
 
-    id: str
-    held: object
+    def flush() -> None:
+        if held:
+            some = [texts[i] or b"" for i in held]
+            got, n = _hash(b" ".join([*some, b""]), np.array([len(t) + 1 for t in some]))
+            keys.append(got)
+            words[held] = n
+            held.clear()
 
-    @property
-    def value(self) -> list[bytes]:
-        return self.held.value
+    for i, text in enumerate(texts):
+        n = len(text or b"")
+        if held and size + n > PIECE:
+            flush()
+            size = 0
+        if n > PIECE:
+            for piece in _pieces(text):
+                got, k = _hash(piece + b" ", np.array([len(piece) + 1]))
+                keys.append(got)
+                words[i] += int(k[0])
+        else:
+            held.append(i)
+            size += n + 1
+    flush()
+    return np.concatenate([np.zeros(0, np.uint64), *keys]), words
+
+
+def bigram_keys(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A key for each word and the one before it in its text."""
+    before = np.empty_like(keys)
+    before[1:] = keys[:-1]
+    firsts = (np.cumsum(words) - words)[words > 0]
+    before[firsts] = START
+    return _mix(before * np.uint64(0xD6E8FEB86659FD93) + keys) | _ONE
+
+
+def _counted(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
+
+
+def _slices(batch: pa.RecordBatch, column: int, most: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of bounded bytes of text, single rows at least."""
+    texts = batch.column(column)
+    sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, np.int32)
+    at, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > at and held + n > most:
+            yield batch.slice(at, i - at)
+            at, held = i, 0
+        held += n
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, size, block, slot): rows with a place that any scan of the same files gives them."""
+    text = F.col(f"`{text_col}`").cast("string").cast("binary")
+    wanted = [F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")]
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        rows = docs.select(*wanted, *place)
+        rows.schema  # noqa: B018
+    except AnalysisException:  # not read from files with row numbers
+        rows = materialize(docs.select(*wanted), "lm-docs").select("id", "text", *place)
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    # Texts of up to 2 ** kind bytes; as many to a block as fill it.
+    kind = F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(1)))), F.lit(12)).cast("int")
+    per = F.greatest(F.lit(BLOCK_BYTES) / F.pow(F.lit(2.0), kind), F.lit(1)).cast("long")
+    return rows.select("id", "text", size.cast("long").alias("size"), F.xxhash64("_file", kind, F.expr("_row") - F.expr("_row") % per).alias("block"), (F.expr("_row") % per).cast("int").alias("slot"))
+
+
+def marked(rows: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """(block, id, target, text) of rows in blocks; ``target`` tells the rows of the target.
+
+    Ids meet without texts. What goes back to the texts is four bytes for each target row,
+    broadcast if Spark finds it small enough by its size and joined by block otherwise.
+    """
+    ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("_good")).distinct()
+    found = rows.select("id", "block", "slot").join(ids, F.col("id") == F.col("_good"), "left_semi")
+    slots = materialize(found.groupBy(F.col("block").alias("_block")).agg(F.collect_list("slot").alias("_slots")), "lm-target")
+    both = rows.join(slots, rows["block"] == slots["_block"], "left")
+    return both.select("block", "id", F.coalesce(F.array_contains("_slots", F.col("slot")), F.lit(False)).alias("target"), "text")
 
 
-def count_bigrams(docs: DataFrame, text_col: str, shared: _Words) -> DataFrame:
-    """(bigram, n) partial counts over the shared vocabulary."""
+def count(rows: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, keys, b, t): counts of words and bigrams by block, cut into buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(shared)
-        held: list[np.ndarray] = []
+        held: dict[int, tuple[list, list]] = {}
         size = 0
 
-        def out() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+        def out() -> Iterator[pa.RecordBatch]:
+            for block, (every, of_target) in held.items():
+                keys, b = _counted(every)
+                marked_keys, n = _counted(of_target)
+                t = np.zeros(len(keys), np.uint32)
+                t[np.searchsorted(keys, marked_keys)] = n
+                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                cuts = np.flatnonzero(np.diff(bucket, prepend=buckets, append=buckets)).tolist()
+                b = b.astype(np.uint32)
+                parts = list(zip(cuts, cuts[1:]))  # noqa: B905
+                blobs = [pa.array([x[i:j].tobytes() for i, j in parts], pa.binary()) for x in (keys, b, t)]
+                where = pa.array(bucket[cuts[:-1]].astype(np.int64))
+                yield pa.record_batch([where, pa.array(np.full(len(parts), block, np.int64)), *blobs], names=["bucket", "block", "keys", "b", "t"])
             held.clear()
-            return pa.record_batch([pa.array(keys), pa.array(n.astype(np.int64))], names=["bigram", "n"])
 
-        for batch in batches:
-            for text in batch.column(0):
-                keys = _keys(_ids(text.as_py(), vocabulary))
-                held.append(keys)
+        for whole in batches:
+            for batch in _slices(whole, 3):
+                blocks = batch.column(0).to_numpy()
+                target = batch.column(2).to_numpy(zero_copy_only=False)
+                keys, words = word_keys(batch.column(3).to_pylist())
+                both = bigram_keys(keys, words)
+                home, marks = np.repeat(blocks, words), np.repeat(target, words)
+                first = words > 0
+                for block in np.unique(blocks[first]).tolist():
+                    mine = home == block
+                    every, of_target = held.setdefault(block, ([], []))
+                    starts = first & (blocks == block)
+                    every += [keys[mine], both[mine], np.full(int(starts.sum()), START)]
+                    mine &= marks
+                    of_target += [keys[mine], both[mine], np.full(int((starts & target).sum()), START)]
                 size += len(keys)
-                if size > HELD_BIGRAMS:
-                    yield out()
+                if size > HELD:
+                    yield from out()
                     size = 0
-        yield out()
-
-    return _texts(docs, text_col).mapInArrow(run, "bigram long, n long")
-
-
-def _both(background: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Sums of partial counts by key, side by side."""
-    b = background.select(key, F.col("n").alias("b"), F.lit(0).cast("long").alias("t"))
-    t = target.select(key, F.lit(0).cast("long").alias("b"), F.col("n").alias("t"))
-    return b.unionByName(t).groupBy(key).agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-
-
-@dataclass
-class Model:
-    """Matched models: p of words by id, bigrams in ascending order with counts, sums of bigrams by first word."""
-
-    p: np.ndarray  # [target, background] x words
-    bigrams: np.ndarray
-    counts: np.ndarray  # [target, background] x bigrams
-    context: np.ndarray  # [target, background] x words
-    strength: float
-
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """[target, background] x tokens, in nats; ``ids`` is one document."""
-        return self._losses(ids, _keys(ids))
-
-    def _losses(self, ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        before = keys >> np.int64(32)
-        seen = np.zeros((2, len(ids)))
-        if len(self.bigrams):
-            at = np.minimum(np.searchsorted(self.bigrams, keys), len(self.bigrams) - 1)
-            hit = self.bigrams[at] == keys
-            seen[:, hit] = self.counts[:, at[hit]]
-        return -np.log((seen + self.strength * self.p[:, ids]) / (self.context[:, before] + self.strength))
-
-
-def build_model(word_counts: np.ndarray, totals: tuple[int, int], bigrams: np.ndarray, bigram_counts: np.ndarray, add: float, strength: float) -> Model:
-    """Matched models from counts; rows are [target, background], ``totals`` are all tokens of each."""
-    scale = np.array([1.0, totals[0] / totals[1] if totals[0] and totals[1] else 1.0])[:, None]
-    size = word_counts.shape[1] + FIRST
-    c = np.zeros((2, size))
-    c[:, FIRST:] = word_counts
-    c[:, UNKNOWN] = np.array(totals) - word_counts.sum(axis=1)
-    c *= scale
-    order = np.argsort(bigrams, kind="stable")
-    bigrams, counts = bigrams[order], bigram_counts[:, order] * scale
-    context = np.stack([np.bincount(bigrams >> np.int64(32), weights=row, minlength=size) for row in counts])
-    whole = (np.array(totals)[:, None] * scale) + add * (size - 1)  # the start is never predicted
-    return Model((c + add) / whole, bigrams, counts, context, strength)
-
-
-def train(docs: DataFrame, target: DataFrame, text_col: str = "text", target_col: str = "text", min_share: float = 2e-6, add: float = 0.5, strength: float = 50.0) -> tuple[_Words, object]:
-    """The broadcast vocabulary and the broadcast fields of the `Model` of ``docs`` (background) and ``target``."""
-    context = docs.sparkSession.sparkContext
-    counted = materialize(_both(count_words(docs, text_col), count_words(target, target_col), "word"), "lm-words")
-    sums = counted.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    least = max(2, -int(-min_share * sums["b"] // 1))
-    # At most 1 / min_share rows reach `least`.
-    chosen = counted.where(F.col("b") >= least).toArrow().sort_by("word")
-    table = chosen.column("word").to_pylist()
-    shared = _Words(uuid.uuid4().hex, context.broadcast(table))
-    pairs = _both(count_bigrams(docs, text_col, shared), count_bigrams(target, target_col, shared), "bigram").where(F.col("b") >= least).toArrow()
-    side = lambda found: np.stack([found.column(c).to_numpy().astype(np.float64) for c in ("t", "b")])
-    model = build_model(side(chosen), (sums["t"], sums["b"]), pairs.column("bigram").to_numpy().astype(np.int64), side(pairs), add, strength)
-    return shared, context.broadcast(vars(model))
-
-
-def score(docs: DataFrame, shared: _Words, model: object, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, target_loss, background_loss, score) for every row of ``docs``."""
+        yield from out()
+
+    return rows.mapInArrow(run, "bucket long, block long, keys binary, b binary, t binary")
+
+
+def _answers(table: pa.Table) -> pa.Table:
+    """The totals of a bucket's keys, for each of its blocks; and the bucket's share of N and V."""
+    blobs = [table.column(c).to_pylist() for c in ("keys", "b", "t")]
+    keys, b, t = (np.frombuffer(b"".join(x), d) for x, d in zip(blobs, ("<u8", "<u4", "<u4"), strict=True))
+    order = np.argsort(keys, kind="stable")
+    fresh = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+    at = np.flatnonzero(fresh)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    sums = [np.add.reduceat(x[order].astype(np.int64), at) for x in (b, t)]
+    distinct = keys[order][at]
+    is_word = (distinct & _ONE == 0) & (distinct != START)
+    totals = [x[place] for x in sums]
+    wanted = totals[0] > 1
+    bounds = np.cumsum([0, *(len(x) // 8 for x in blobs[0])]).tolist()
+    out: list[list] = [[], [], [], []]
+    for block, i, j in zip(table.column("block").to_pylist(), bounds, bounds[1:]):  # noqa: B905
+        w = wanted[i:j]
+        if w.any():
+            for column, value in zip(out, (block, keys[i:j][w].tobytes(), *(x[i:j][w].tobytes() for x in totals)), strict=True):
+                column.append(value)
+    n = len(out[0])
+    share = [int(is_word.sum()), *(int(x[is_word].sum()) for x in sums)]
+    columns = [pa.array([*out[0], None], pa.int64()), *(pa.array([*c, None], pa.binary()) for c in out[1:]), *(pa.array([None] * n + [s], pa.int64()) for s in share)]
+    return pa.table(columns, names=["block", "keys", "b", "t", "v", "nb", "nt"])
+
+
+class Answers:
+    """Totals of a block's keys, and the figures of the whole corpus."""
+
+    def __init__(self, keys: list[bytes], b: list[bytes], t: list[bytes], size: int, nb: int, nt: int, add: float, strength: float):
+        found, d = np.frombuffer(b"".join(keys), "<u8"), np.frombuffer(b"".join(b), "<i8")
+        self.keys, at = np.unique(found, return_index=True)
+        self.counts = np.stack([np.frombuffer(b"".join(t), "<i8")[at], d[at]])
+        self.scale = np.array([[1.0], [nt / nb if nt and nb else 1.0]])
+        self.whole = np.array([[nt], [nb]]) * self.scale + add * size
+        self.add, self.strength = add, strength
+
+    def of(self, keys: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """[target, background] counts; a key without an answer occurs in its document alone."""
+        out = np.stack([target.astype(np.float64), np.ones(len(keys))])
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[at] == keys
+            out[:, hit] = self.counts[:, at[hit]]
+        return out * self.scale
+
+    def losses(self, keys: np.ndarray, words: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """[target, background] x tokens, in nats."""
+        marks = np.repeat(target, words)
+        word = self.of(keys, marks)
+        context = np.empty_like(word)
+        context[:, 1:] = word[:, :-1]
+        first = (np.cumsum(words) - words)[words > 0]
+        context[:, first] = self.of(np.full(len(first), START), marks[first])
+        weight = self.strength * (word + self.add) / self.whole
+        return -np.log((self.of(bigram_keys(keys, words), marks) + weight) / (context + self.strength))
+
+
+def score(rows: DataFrame, counts: DataFrame, add: float, strength: float) -> DataFrame:
+    """(id, n_tokens, target_loss, background_loss, score) for every row."""
+    size, nb, nt = counts.where("block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("v", "nb", "nt")]).first()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, m = _vocabulary(shared), Model(**model.value)
-        for batch in batches:
-            sizes, sums = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows))
-            held: list[tuple[int, np.ndarray]] = []
-
-            def flush() -> None:
-                ids = np.concatenate([np.zeros(0, np.int64), *(x for _, x in held)])
-                keys = np.concatenate([np.zeros(0, np.int64), *(_keys(x) for _, x in held)])
-                row = np.repeat([i for i, _ in held], [len(x) for _, x in held]) if held else np.zeros(0, np.int64)
-                for side, loss in enumerate(m._losses(ids, keys)):  # noqa: B023
-                    sums[side] += np.bincount(row, weights=loss, minlength=len(sizes))  # noqa: B023
-                held.clear()  # noqa: B023
-
-            size = 0
-            for i, text in enumerate(batch.column(1)):
-                ids = _ids(text.as_py(), vocabulary)
-                sizes[i] = len(ids)
-                if len(ids):
-                    held.append((i, ids))
-                size += len(ids)
-                if size > 200_000:
-                    flush()
-                    size = 0
-            flush()
-            blank = sizes == 0
-            mean = sums / np.maximum(sizes, 1)
-            yield pa.record_batch(
-                [batch.column(0), pa.array(sizes), pa.array(mean[0], mask=blank), pa.array(mean[1], mask=blank), pa.array(mean[1] - mean[0], mask=blank)],
-                names=["id", "n_tokens", "target_loss", "background_loss", "score"],
-            )
-
-    chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
-    return chosen.mapInArrow(run, "id long, n_tokens long, target_loss double, background_loss double, score double")
-
-
-def labelled_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Texts of the documents that every label marks as of good quality and not toxic.
-
-    Their ids are joined without a hint: a small label table is broadcast by its size, a
-    large one meets the documents in a shuffle.
-    """
-    good = labels.groupBy(F.col("doc_id").cast("long").alias("_good")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("all")).where("all")
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return texts.join(good, texts["_id"] == good["_good"], "left_semi").select("text")
-
-
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_share: float = 2e-6, add: float = 0.5, strength: float = 50.0, threshold: float = 0.0) -> DataFrame:
+        block, held, answers = None, ([], [], []), None
+        for whole in batches:
+            for batch in _slices(whole, 4):
+                at = 0
+                blocks, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+                cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(texts.astype(np.int8)) != 0)) + 1
+                for to in [*cuts.tolist(), batch.num_rows]:
+                    part, at = batch.slice(at, to - at), to
+                    if part.column(0)[0].as_py() != block:
+                        block, held, answers = part.column(0)[0].as_py(), ([], [], []), None
+                    if not part.column(1)[0].as_py():  # answers come before the texts of their block
+                        for k in range(3):
+                            held[k].extend(part.column(5 + k).to_pylist())
+                        continue
+                    if answers is None:
+                        answers, held = Answers(*held, size, nb, nt, add, strength), ([], [], [])
+                    keys, words = word_keys(part.column(4).to_pylist())
+                    losses = answers.losses(keys, words, part.column(3).to_numpy(zero_copy_only=False))
+                    row = np.repeat(np.arange(len(words)), words)
+                    mean = [np.bincount(row, weights=x, minlength=len(words)) / np.maximum(words, 1) for x in losses]
+                    blank = words == 0
+                    yield pa.record_batch(
+                        [part.column(2), pa.array(words), pa.array(mean[0], mask=blank), pa.array(mean[1], mask=blank), pa.array(mean[1] - mean[0], mask=blank)],
+                        names=["id", "n_tokens", "target_loss", "background_loss", "score"],
+                    )
+
+    none = lambda kind: F.lit(None).cast(kind)
+    texts = rows.select("block", F.lit(True).alias("is_text"), "id", "target", "text", *[none("binary").alias(c) for c in ("keys", "b", "t")])
+    told = counts.where("block is not null").select("block", F.lit(False).alias("is_text"), none("long").alias("id"), F.lit(False).alias("target"), none("binary").alias("text"), "keys", "b", "t")
+    met = told.unionByName(texts).repartition("block").sortWithinPartitions("block", "is_text")
+    return met.mapInArrow(run, "id long, n_tokens long, target_loss double, background_loss double, score double")
+
+
+def labelled_target(labels: DataFrame) -> DataFrame:
+    """(id) of what every label marks as of good quality and not toxic."""
+    good = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("all"))
+    return good.where("all and id is not null").select("id")
+
+
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", add: float = 0.5, strength: float = 50.0, threshold: float = 0.0) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score, kept) for every row of ``docs``.
 
-    ``target`` has a column ``text``; the background is ``docs`` itself.
+    The first column of ``target_ids`` names the documents of the target; the background is
+    ``docs`` as a whole.
     """
-    target = materialize(target.select("text"), "lm-target")
-    shared, model = train(docs, target, text_col, "text", min_share, add, strength)
-    return score(docs, shared, model, id_col, text_col).withColumn("kept", F.coalesce(F.col("score") > threshold, F.lit(False)))
+    placed = _blocks(docs, id_col, text_col)
+    rows = marked(placed, target_ids)
+    size = placed.agg(F.sum("size")).first()[0] or 0
+    counted = count(rows, max(1, math.ceil(size / BUCKET_BYTES)))
+    counts = materialize(counted.groupBy("bucket").applyInArrow(_answers, _COUNTS), "lm-counts")
+    return score(rows, counts, add, strength).withColumn("kept", F.coalesce(F.col("score") > threshold, F.lit(False)))

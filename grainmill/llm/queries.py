@@ -36,7 +36,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against the trusted ones among them; figures are rounded to six places."""
     docs = load(spark, sf_dir, "documents")
-    found = _lm.cross_entropy_difference(docs, _lm.labelled_target(docs, load(spark, sf_dir, "labels")))
+    found = _lm.cross_entropy_difference(docs, _lm.labelled_target(load(spark, sf_dir, "labels")))
     figures = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")]
     return found.select(F.col("id").alias("doc_id"), "n_tokens", *figures, "kept")
 

@@ -132,59 +132,78 @@ def test_shards_of_an_empty_table(empty):
 
 
 # --------------------------------------------------------------- 3: language model
-def brute_scores(rows, target, share=2e-6, add=0.5, strength=50.0):
+def brute_scores(rows, target, add=0.5, strength=50.0):
+    """Losses by exact words and bigrams in memory; ``target`` are the ids of the target."""
     texts = [WORD.findall(t or "") for _, t in rows]
-    goal = [WORD.findall(t or "") for t in target]
+    goal = [x for (i, _), x in zip(rows, texts, strict=True) if i is not None and i in target]
     nb, nt = sum(map(len, texts)), sum(map(len, goal))
-    b, t = Counter(w for x in texts for w in x), Counter(w for x in goal for w in x)
-    least = max(2, math.ceil(share * nb))
-    known = {w for w, n in b.items() if n >= least}
-    fix = lambda x: [w if w in known else None for w in x]
-    texts, goal = [fix(x) for x in texts], [fix(x) for x in goal]
     scale = nt / nb if nt and nb else 1.0
     pairs = lambda xs: Counter(p for x in xs for p in zip(["<s>", *x], x))  # noqa: E731, B905
-    b2, t2 = pairs(texts), pairs(goal)
-    held = {p for p, n in b2.items() if n >= least}
-    uni = lambda c, n, s: {w: (c[w] * s + add) / (n * s + add * (len(known) + 1)) for w in known} | {None: ((n - sum(c[w] for w in known)) * s + add) / (n * s + add * (len(known) + 1))}
-    p = {"t": uni(t, nt, 1.0), "b": uni(b, nb, scale)}
-    ctx = {"t": Counter(), "b": Counter()}
-    for u, w in held:
-        ctx["t"][u] += t2[u, w]
-        ctx["b"][u] += b2[u, w] * scale
-    loss = lambda k, u, w: -math.log(((({"t": t2, "b": b2}[k][u, w] if (u, w) in held else 0) * (scale if k == "b" else 1)) + strength * p[k][w]) / (ctx[k][u] + strength))
+    known = len({w for x in texts for w in x})
+    sides = {}
+    for k, xs, n, by in (("t", goal, nt, 1.0), ("b", texts, nb, scale)):
+        one = Counter(w for x in xs for w in x)
+        one["<s>"] = sum(1 for x in xs if x)
+        sides[k] = one, pairs(xs), n, by
+
+    def loss(k, u, w):
+        one, two, n, by = sides[k]
+        p = (one[w] * by + add) / (n * by + add * known)
+        return -math.log((two[u, w] * by + strength * p) / (one[u] * by + strength))
+
     out = []
     for (i, _), x in zip(rows, texts, strict=True):
-        if not x:
-            out.append((i, 0, None, None))
-        else:
-            steps = list(zip(["<s>", *x], x))  # noqa: B905
-            out.append((i, len(x), sum(loss("t", *s) for s in steps) / len(x), sum(loss("b", *s) for s in steps) / len(x)))
+        steps = list(zip(["<s>", *x], x))  # noqa: B905
+        out.append((i, len(x), *((sum(loss(k, *s) for s in steps) / len(x)) if x else None for k in "tb")))
     return out
 
 
-def test_scores_match_brute_force(spark, odd, monkeypatch):
-    target = ["one two three one", None, "word1 and, more 1"]
-    found = lm_score.cross_entropy_difference(odd, spark.createDataFrame([(t,) for t in target], "text string")).collect()
-    rows = [*enumerate(ODD), (4, "a"), (5, "another text"), (None, "no id"), (None, None)]
+def odd_rows():
+    return [*enumerate(ODD), (4, "a"), (5, "another text"), (None, "no id"), (None, None)]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"BLOCK_BYTES": 1 << 13, "PIECE": 64, "HELD": 100, "BUCKET_BYTES": 1 << 14}])
+def test_scores_match_brute_force(spark, odd, monkeypatch, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(lm_score, name, value)
+    target = {4, 9, 10, 14, 77}
+    found = lm_score.cross_entropy_difference(odd, spark.createDataFrame([(t,) for t in [*target, None]], "doc_id long")).collect()
     order = lambda x: (x[0] is None, x[0] or 0, x[1], x[2] or 0)
     got = sorted(((r["id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in found), key=order)
-    for g, w in zip(got, sorted(brute_scores(rows, target), key=order), strict=True):
+    for g, w in zip(got, sorted(brute_scores(odd_rows(), target), key=order), strict=True):
         assert g[:2] == w[:2] and (g[2] is None) == (w[2] is None)
         if g[2] is not None:
             assert g[2:] == pytest.approx(w[2:], rel=1e-9)
     assert all(r["kept"] == (r["score"] is not None and r["score"] > 0) for r in found)
 
 
+def test_scores_of_files_match_brute_force(spark, small, labels):
+    docs = load(spark, small, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    good = {r["id"] for r in lm_score.labelled_target(load(spark, small, "labels")).collect()}
+    assert good and good < {i for i, _ in rows}
+    got = {r["id"]: (r["target_loss"], r["background_loss"]) for r in lm_score.cross_entropy_difference(docs, lm_score.labelled_target(load(spark, small, "labels"))).collect()}
+    for i, n, *want in brute_scores(rows, good):
+        assert got[i] == ((None, None) if not n else pytest.approx(tuple(want), rel=1e-9))
+
+
 def test_scores_without_target_or_rows(spark, odd, empty):
-    nothing = spark.createDataFrame([], "text string")
+    nothing = spark.createDataFrame([], "doc_id long")
     assert lm_score.cross_entropy_difference(odd, nothing).count() == odd.count()
     assert lm_score.cross_entropy_difference(empty, nothing).count() == 0
 
 
-def test_words_of_a_long_text_are_cut_between_words(monkeypatch):
-    monkeypatch.setattr(lm_score, "CHUNK", 7)
-    for text in (b"a bb ccc dddd eeeee ffffff ggggggg hhhhhhhhhhhh i", b"", b"       ", b"xxxxxxxxxxxxxxxxxxxxx", b"a\tb\nc  d "):
-        assert [w for some in lm_score.words(text) for w in some] == text.split()
+def test_labels_that_disagree_mark_no_target(spark, labels):
+    assert {r["id"] for r in lm_score.labelled_target(labels).collect()} == {9, 14}
+
+
+def test_equal_words_have_equal_keys_wherever_they_stand(monkeypatch):
+    texts = [b"a bb ccc dddd eeeee ffffff ggggggg hhhhhhhhhhhh i", b"", None, b"       ", b"x" * 40, b"a\tb\nc  d ", b"bb a", b"\x0ba"]
+    monkeypatch.setattr(lm_score, "PIECE", 7)
+    keys, n = lm_score.word_keys(texts)
+    words = [w for t in texts for w in (t or b"").split()]
+    assert n.tolist() == [len((t or b"").split()) for t in texts] and len(keys) == len(words)
+    assert len({*zip(words, keys.tolist(), strict=True)}) == len(set(words)) == len(set(keys.tolist()))
 
 
 # ------------------------------------------------------------ 4: SentencePiece
