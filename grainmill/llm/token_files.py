@@ -1,41 +1,51 @@
-"""Token ids in binary files, with keyed access through minimal perfect hashes.
+"""Token ids in binary files, with keyed access through one minimal perfect hash.
 
 Documents are range partitioned by id and sorted, so files hold them in ascending order.
-A file is Parquet with one row per record; a record holds up to ``docs_per_record``
+``payload`` holds the ids, Parquet with one row per record of up to ``docs_per_record``
 documents (fewer where texts are long):
 
-    part, seq        its place: parts ascend by id, records ascend within a part
+    part, seq        the shard and the record's place in it: parts ascend by id, records within a part
     part_start       ids in the same part before this record
-    n_ids, n_keys    ids in the payload, distinct keys
-    first_key, last_key   the range of keys, for pruning by column statistics
+    n_ids            ids in the payload
     payload          all ids as raw little-endian unsigned 32-bit integers
-    doc_keys         the key of each document (little-endian 64-bit), null_keys of them null
+    doc_keys         the key of each document (little-endian 64-bit), the first null_keys documents have none
     bounds           where each document starts in the payload, and the payload's end
-    seeds            the minimal perfect hash: one displacement per bucket
-    fingerprints     16 bits of each key by slot, which tell keys that are not there
-    positions        the document of each slot
 
-A key is hashed to a bucket, the bucket's seed hashes it to its slot, the fingerprint is
-compared, and the slot names the document: a fixed number of steps, without search.
-Buckets are placed by descending size and take the first seed that leaves their keys on
-free slots (hash and displace).
+``index`` holds a minimal perfect hash over all keys. A key's hash names its *cell* (one
+row, about ``CELL`` keys), and in the cell:
+
+    seeds            a key is hashed to a bucket, the bucket's seed hashes it to its slot
+    fingerprints     16 bits of each slot's key, which tell most keys that are not there
+    parts, seqs      the record that holds each slot's document
+    starts, sizes    the document's offset in the record's payload and its number of ids
+
+So a key takes a fixed number of steps, without search: its cell, its slot, one record, one
+offset; the record's own key settles what a fingerprint lets through. Cells are built
+apart from each other; buckets of a cell are placed by descending size and take the first
+seed that leaves their keys on free slots (hash and displace).
 
 Encoding: the tokenizer cuts texts before every single space that a visible character
-follows, so ids of such pieces do not depend on their neighbours. Pieces are encoded by
-the library once per worker and kept (up to ``cache_words``); texts with other white
-space around spaces, or with strings of special tokens, go to the library whole. Texts are
-never cut otherwise.
+follows, so ids of such words do not depend on their neighbours. A word is cut as the
+tokenizer's expression cuts it, the library's model encodes each piece once per worker, and
+words are kept (up to ``cache_words``). Words with characters beyond `_PLAIN` are encoded by
+the library as they are; texts with other white space around spaces, or with strings of
+special tokens, go to it whole. Texts are never cut otherwise.
 
 Defined cases: null text counts as empty and yields the end id alone; null ids come first
-and have no key; repeated ids keep all their rows (next to each other, by a hash of the text)
-and the index finds the first, with the number of rows; an empty table writes no records;
-other columns are not read.
+and are not in the index; repeated ids keep all their rows (next to each other, by a hash of
+the text) and the index names the first of them; rows equal in id and text are interchangeable
+and are spread over ranges, however many there are; a very long text is a record of its own,
+held as a whole while it is encoded; an empty table writes no records; other columns are not
+read.
 """
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -47,10 +57,18 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.common import shuffle_width, worker_cache
 
-SCHEMA = "part int, seq int, part_start long, n_ids long, n_keys int, null_keys int, first_key long, last_key long, payload binary, doc_keys binary, bounds binary, seeds binary, fingerprints binary, positions binary"
+#: Keys in a cell of the index.
+CELL = 1 << 15
+SCHEMA = "part int, seq int, part_start long, n_ids long, null_keys int, payload binary, doc_keys binary, bounds binary"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+INDEX = "cell long, cells long, n_keys int, seeds binary, fingerprints binary, parts binary, seqs binary, starts binary, sizes binary"
 #: A space that the tokenizer may join to white space instead of what follows it.
 _ODD_SPACE = re.compile(r" (?![!-~¡-ɏ])")
+#: Words of characters whose classes no version of Unicode disputes.
+_PLAIN = re.compile(r"[\n!-~¡-ɏ]*")
+_LETTERS, _NUMBERS = ("".join(re.escape(chr(c)) for c in range(0x21, 0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN")
+#: How the tokenizer cuts plain words.
+_CUT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -115,61 +133,94 @@ def find(keys: np.ndarray, seeds: np.ndarray, fingerprints: np.ndarray, position
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, with pieces between spaces kept."""
+    """Ids of whole texts by the tokenizers library, with words between spaces kept."""
 
     def __init__(self, tokenizer_path: str, cache_words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer)
+        cut = str(self.tokenizer.pre_tokenizer)
+        self.plain = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in cut and "use_regex=True" in cut and isinstance(self.tokenizer.model, BPE)
         self.limit = cache_words
-        # Tokens are written with one character for each of their bytes.
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.sizes[i] = len(token)
+        if self.plain:
+            # The file's own model; its cache is off, since only new pieces come here.
+            with open(tokenizer_path, encoding="utf-8") as file:
+                held = json.load(file)["model"]
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in held["merges"]]
+            self.tokenize = BPE(held["vocab"], merges, cache_capacity=0, ignore_merges=bool(held.get("ignore_merges"))).tokenize
+            self.plain = not held.get("dropout")
+        # The model writes a byte as one character: itself if it can be seen, else one from U+0100 on.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = iter(range(256, 512))
+        self.letters = {b: b if b in shown else next(hidden) for b in range(256)}
+        self.space = chr(self.letters[32])
+        self.blobs = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.after: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, fresh: list[str], rows: int = 4096) -> None:
-        """Put the ids of pieces into the cache: many in one text, cut where their bytes end."""
-        for i in range(0, len(fresh), rows):
-            some = fresh[i : i + rows]
-            spaced = [f" {w}" for w in some]
-            ids = np.array(self.tokenizer.encode("".join(spaced), add_special_tokens=False).ids, dtype="<u4")
-            ends, want = np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in spaced])
-            at = np.searchsorted(ends, want)
-            if at[-1] < len(ends) and (ends[at] == want).all():
-                blob, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
-                self.after.update((w, blob[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))  # noqa: B905
+    def _piece(self, piece: str) -> bytes:
+        """The ids of what the tokenizer does not cut further."""
+        blobs = self.blobs
+        shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([blobs[t.id] for t in self.tokenize(shown)])
+
+    def _word(self, text: str) -> bytes:
+        """The ids of a text of plain characters, with at most a space before it."""
+        out = []
+        for p in _CUT.findall(text):
+            spaced = p[0] == " " and len(p) > 1
+            known, key = (self.after, p[1:]) if spaced else (self.bare, p)
+            blob = known.get(key)
+            if blob is None:
+                blob = known[key] = self._piece(p)
+            out.append(blob)
+        return b"".join(out)
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Put the ids of words, each with a space before it, into the cache."""
+        odd, after, blobs, tokenize, space = [], self.after, self.blobs, self.tokenize, self.space
+        for w in fresh:
+            if w.isascii() and w.isalpha():
+                after[w] = b"".join([blobs[t.id] for t in tokenize(space + w)])
+            elif _PLAIN.fullmatch(w):
+                after[w] = self._word(f" {w}")
             else:
-                self.after.update(zip(some, self._library(spaced), strict=True))
+                odd.append(w)
+        after.update(zip(odd, self._library([f" {w}" for w in odd]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; nothing here is cyclic, so the collector of cycles rests."""
+        rests = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if rests:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if not self.plain or _ODD_SPACE.search(t) or any(s in t for s in self.special)]
         done = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True))
-        found, heads, missing = {}, {}, []
+        if len(self.after) + len(self.bare) > self.limit:
+            self.after.clear()
+            self.bare.clear()
         for i, t in enumerate(texts):
             if i in done:
                 continue
             head, *rest = t.split(" ")
-            if head:
-                heads[i] = head
             got = list(map(self.after.get, rest))
-            found[i] = got
             if None in got:
-                missing += [(i, k, rest[k]) for k, g in enumerate(got) if g is None]
-        self._learn(list({w for _, _, w in missing}))
-        for i, k, w in missing:
-            found[i][k] = self.after[w]
-        if len(self.after) > self.limit:  # frequent pieces are among those of any batch
-            self.after = {w: g for i, got in found.items() for w, g in zip(texts[i].split(" ")[1:], got, strict=True)}
-        first = dict(zip(heads, self._library(list(heads.values())), strict=True))
-        return [done[i] if i in done else first.get(i, b"") + b"".join(found[i]) for i in range(len(texts))]
+                self._learn({w for w, g in zip(rest, got, strict=True) if g is None})
+                got = map(self.after.__getitem__, rest)
+            first = b"" if not head else self._word(head) if _PLAIN.fullmatch(head) else self._library([head])[0]
+            done[i] = first + b"".join(got)
+        return [done[i] for i in range(len(texts))]
 
 
 def load_encoder(tokenizer_path: str, cache_words: int = 800_000) -> Encoder:
@@ -180,19 +231,19 @@ def load_encoder(tokenizer_path: str, cache_words: int = 800_000) -> Encoder:
 
 
 def _record(part: int, seq: int, start: int, keys: list[int | None], blobs: list[bytes]) -> pa.RecordBatch:
-    nulls = sum(k is None for k in keys)
     real = np.array([k for k in keys if k is not None], dtype="<i8")
-    distinct, firsts = np.unique(real, return_index=True)
-    seeds, prints, positions = build_index(distinct)
-    positions = (firsts[positions] + nulls).astype("<u4") if len(distinct) else positions
     bounds = np.cumsum([0, *(len(b) // 4 for b in blobs)], dtype="<i8")
-    row = (part, seq, start, int(bounds[-1]), len(distinct), nulls, int(distinct[0]) if len(distinct) else None, int(distinct[-1]) if len(distinct) else None, b"".join(blobs), real.tobytes(), bounds.tobytes(), seeds.tobytes(), prints.tobytes(), positions.tobytes())
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
+    row = (part, seq, start, int(bounds[-1]), len(keys) - len(real), b"".join(blobs), real.tobytes(), bounds.tobytes())
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3]
     return pa.record_batch([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=_NAMES)
 
 
+def _cell(keys: np.ndarray, cells: int) -> np.ndarray:
+    return (_mix(keys, 0xCE11) % np.uint64(cells)).astype(np.int64)
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, docs_per_record: int = 512, ids_per_record: int = 1 << 20) -> None:
-    """Encode all of ``docs`` and write the files described above to ``path``."""
+    """Encode all of ``docs`` and write payloads and index, as described above, under ``path``."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,9 +266,39 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
             yield _record(part, seq, start, keys, blobs)
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).withColumn("tie", F.xxhash64("text"))
-    ranged = rows.repartitionByRange(shuffle_width(docs.sparkSession), "id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
-    ranged.mapInArrow(run, SCHEMA).write.option("compression", "zstd").parquet(path)
+    # Row numbers of the plan split what ties on id and text, which is interchangeable.
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("row")).withColumn("tie", F.xxhash64("text"))
+    ranged = rows.repartitionByRange(shuffle_width(docs.sparkSession), "id", "tie", "row").sortWithinPartitions("id", "tie").select("id", "text")
+    ranged.mapInArrow(run, SCHEMA).write.option("compression", "zstd").parquet(f"{path}/payload")
+    write_index(docs.sparkSession, path)
+
+
+def write_index(spark: SparkSession, path: str) -> None:
+    """Build the index over the keys of the payloads under ``path``, one cell at a time."""
+    records = spark.read.schema(SCHEMA).parquet(f"{path}/payload").select("part", "seq", "null_keys", "doc_keys", "bounds")
+    keys = records.agg(F.sum(F.octet_length("doc_keys") / 8)).first()[0] or 0
+    cells = max(1, -(-int(keys) // CELL))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, seq, nulls, keys, bounds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                real, limits = np.frombuffer(keys, "<i8"), np.frombuffer(bounds, "<i8")[nulls:]
+                first = np.flatnonzero(np.diff(real, prepend=real[:1] - 1))
+                real, starts, sizes = real[first], limits[:-1][first], np.diff(limits)[first]
+                one = lambda v: pa.array(np.full(len(real), v, np.int32))  # noqa: B023, E731
+                yield pa.record_batch([pa.array(_cell(real, cells)), pa.array(real), one(part), one(seq), pa.array(starts), pa.array(sizes)], names=["cell", "key", "part", "seq", "start", "size"])
+
+    def build(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("key", "part", "seq")])
+        distinct, first = np.unique(table.column("key").to_numpy(), return_index=True)  # the first row of a key
+        seeds, prints, positions = build_index(distinct)
+        at = first[positions]
+        place = [table.column(c).to_numpy()[at].astype(d).tobytes() for c, d in (("part", "<u4"), ("seq", "<u4"), ("start", "<i8"), ("size", "<i8"))]
+        row = (table.column("cell")[0].as_py(), cells, len(distinct), seeds.tobytes(), prints.tobytes(), *place)
+        return pa.table([pa.array([v], t) for v, t in zip(row, [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 6], strict=True)], names=[x.split()[0] for x in INDEX.split(", ")])
+
+    placed = records.mapInArrow(places, "cell long, key long, part int, seq int, start long, size long")
+    placed.groupBy("cell").applyInArrow(build, INDEX).write.option("compression", "zstd").parquet(f"{path}/index")
 
 
 def _with_base(records: DataFrame) -> DataFrame:
@@ -228,44 +309,55 @@ def _with_base(records: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) of every document, read from the files through their index."""
+    """(id, start, n_tokens, ids_crc32) of every document, read from the payloads in their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache()
         for batch in batches:
-            for base, start, nulls, payload, keys, bounds, seeds, prints, positions in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
-                real, limits = np.frombuffer(keys, "<i8"), np.frombuffer(bounds, "<i8")
-                found = find(real, np.frombuffer(seeds, "<u4"), np.frombuffer(prints, "<u2"), np.frombuffer(positions, "<u4"))
-                # Rows that repeat a key follow the first of them, which is what the index names.
-                order = np.arange(len(real)) + nulls
-                first = order - (np.arange(len(real)) - np.searchsorted(real, real, side="left"))
-                if (found != first).any():
-                    raise ValueError("the index of a record does not lead to its documents")
-                view = memoryview(payload)
+            for base, start, nulls, payload, keys, bounds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                limits, view = np.frombuffer(bounds, "<i8"), memoryview(payload)
                 at, to = limits[:-1], limits[1:]
                 crcs = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(at.tolist(), to.tolist(), strict=True)]
-                ids = pa.array([None] * nulls + real.tolist(), pa.int64())
+                ids = pa.array([None] * nulls + np.frombuffer(keys, "<i8").tolist(), pa.int64())
                 yield pa.record_batch([ids, pa.array(base + start + at), pa.array(to - at), pa.array(crcs, pa.int64())], names=["id", "start", "n_tokens", "ids_crc32"])
 
-    records = _with_base(spark.read.parquet(path))
-    wanted = records.select("base", "part_start", "null_keys", "payload", "doc_keys", "bounds", "seeds", "fingerprints", "positions")
-    return wanted.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
+    records = _with_base(spark.read.schema(SCHEMA).parquet(f"{path}/payload"))
+    return records.select("base", "part_start", "null_keys", "payload", "doc_keys", "bounds").mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
 
 
-def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
-    """(id, ids) of the given keys: only records whose key range can hold one are opened."""
+def locate(spark: SparkSession, path: str, keys: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """(key, part, seq, start, size) by the index, of keys whose fingerprint is there; opens one cell for each key at most."""
+    index = spark.read.schema(INDEX).parquet(f"{path}/index")
+    any_cell = index.select("cells").first()
+    if not any_cell:
+        return []
     wanted = np.array(sorted(set(keys)), dtype="<i8")
+    home = _cell(wanted, any_cell["cells"])
+    out = []
+    for row in index.where(F.col("cell").isin(sorted(set(home.tolist())))).toLocalIterator():
+        mine = wanted[home == row["cell"]]
+        seeds, prints = np.frombuffer(row["seeds"], "<u4"), np.frombuffer(row["fingerprints"], "<u2")
+        slots = find(mine, seeds, prints, np.arange(len(prints)))
+        place = [np.frombuffer(row[c], d) for c, d in (("parts", "<u4"), ("seqs", "<u4"), ("starts", "<i8"), ("sizes", "<i8"))]
+        out += [(k, *(int(p[i]) for p in place)) for k, i in zip(mine.tolist(), slots.tolist(), strict=True) if i >= 0]
+    return out
+
+
+def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
+    """(id, ids) of those of the given keys that are there: one record is opened for each key at most."""
+    places: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for key, part, seq, start, size in locate(spark, path, keys):
+        places.setdefault((part, seq), []).append((key, start, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for payload, bounds, seeds, prints, positions, stored in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                limits, real = np.frombuffer(bounds, "<i8"), np.frombuffer(stored, "<i8")
-                at = find(wanted, np.frombuffer(seeds, "<u4"), np.frombuffer(prints, "<u2"), np.frombuffer(positions, "<u4"))
-                nulls = len(limits) - 1 - len(real)
-                hits = [(k, p) for k, p in zip(wanted.tolist(), at.tolist(), strict=True) if p >= 0 and real[p - nulls] == k]
-                ids = [np.frombuffer(payload, "<u4")[limits[p] : limits[p + 1]].astype(np.int64) for _, p in hits]
-                yield pa.record_batch([pa.array([k for k, _ in hits], pa.int64()), pa.array(ids, pa.list_(pa.int64()))], names=["id", "ids"])
+            for part, seq, nulls, payload, stored, bounds in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                real, limits, ids = np.frombuffer(stored, "<i8"), np.frombuffer(bounds, "<i8")[nulls:], np.frombuffer(payload, "<u4")
+                hits = [(k, ids[a : a + n].astype(np.int64)) for k, a, n in places.get((part, seq), []) if real[np.searchsorted(limits, a)] == k]
+                yield pa.record_batch([pa.array([k for k, _ in hits], pa.int64()), pa.array([x for _, x in hits], pa.list_(pa.int64()))], names=["id", "ids"])
 
     near = F.lit(False)
-    for k in wanted.tolist():
-        near = near | ((F.col("first_key") <= k) & (F.col("last_key") >= k))
-    return spark.read.parquet(path).where(near).select("payload", "bounds", "seeds", "fingerprints", "positions", "doc_keys").mapInArrow(run, "id long, ids array<long>")
+    for part, seq in sorted(places):
+        near = near | ((F.col("part") == part) & (F.col("seq") == seq))
+    records = spark.read.schema(SCHEMA).parquet(f"{path}/payload").where(near)
+    return records.select("part", "seq", "null_keys", "payload", "doc_keys", "bounds").mapInArrow(run, "id long, ids array<long>")

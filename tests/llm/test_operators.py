@@ -316,6 +316,31 @@ def test_token_lookup(spark, odd, tmp_path):
     assert got == {6: encode(ODD[6]), 9: encode(ODD[9])}
 
 
+def test_every_key_leads_to_its_document(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "CELL", 16)
+    docs, out = load(spark, small, "documents"), str(tmp_path / "all")
+    token_files.write_token_files(docs.unionByName(docs), out, public_tokenizers.path("byte_bpe_50k.json"), docs_per_record=9)
+    base = {(r["part"], r["seq"]): r["base"] + r["part_start"] for r in token_files._with_base(spark.read.parquet(f"{out}/payload")).collect()}
+    first = {}
+    for r in token_files.read_documents(spark, out).collect():
+        first[r["id"]] = min(first.get(r["id"], (1 << 60, 0)), (r["start"], r["n_tokens"]))
+    found = token_files.locate(spark, out, [*first, -7, 10**12])
+    assert {k: (base[part, seq] + start, n) for k, part, seq, start, n in found if k in first} == first
+    assert sum(r["n_keys"] for r in spark.read.parquet(f"{out}/index").collect()) == len(first)
+
+
+def test_words_are_cut_as_the_library_cuts_them():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, mine = Tokenizer.from_file(path), token_files.Encoder(path, 10)
+    draw = random.Random(8)
+    texts = ["".join(draw.choice("ab'sStT re.,\n\n 12é ßÆ|<>\t\xa0漢  ") for _ in range(draw.randrange(60))) for _ in range(3000)]
+    for i in range(0, len(texts), 50):
+        got = mine.encode(texts[i : i + 50])
+        assert [np.frombuffer(b, "<u4").tolist() for b in got] == [library.encode(t, add_special_tokens=False).ids for t in texts[i : i + 50]]
+
+
 def test_the_index_is_minimal_and_perfect():
     for n in (0, 1, 2, 50, 3000):
         keys = np.unique(np.random.default_rng(n).integers(-(1 << 62), 1 << 62, n))
