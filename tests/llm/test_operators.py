@@ -551,12 +551,50 @@ def test_scores_of_odd_rows(odd, empty, labels):
     assert kept.schema.fieldNames() == odd.schema.fieldNames()
 
 
-def test_the_risk_separates_classes_and_stays_finite():
-    rng = np.random.default_rng(0)
+def risk_rows(n=500, prior=0.7, seed=0):
+    rng = np.random.default_rng(seed)
     width = len(pu_quality.FEATURES)
-    pos, neg = rng.normal(1, 1, (500, width)), rng.normal(-1, 1, (500, width))
-    model = pu_quality.fit(pos, np.concatenate([rng.normal(1, 1, (350, width)), neg[:150]]), 0.7)
+    pos, neg = rng.normal(1, 1, (n, width)), rng.normal(-1, 1, (n, width))
+    unl = np.concatenate([rng.normal(1, 1, (int(n * prior), width)), neg[: n - int(n * prior)]])
+    edges = [np.quantile(unl[:, j], (0.1, 0.3, 0.5, 0.7, 0.9)) for j in range(width)]
+    return pos, neg, unl, edges
+
+
+def test_the_risk_separates_classes_and_its_gradient_is_one():
+    pos, neg, unl, edges = risk_rows()
+    width = sum(len(e) + 1 for e in edges)
+    at, au = pu_quality.indexed(pos, edges), pu_quality.indexed(unl, edges)
+    whole = lambda w: pu_quality.risk(w, at, pu_quality.unlabelled_part(au, w, width), 0.7, 1e-4)
+    start = np.append(np.zeros(width), np.log(0.7 / 0.3))
+    done = pu_quality.adam(start, lambda w: whole(w)[1], 1500, 0.1)
+    assert whole(done)[0] < whole(start)[0]
+    model = pu_quality.Model(edges, np.split(done[:-1], np.cumsum([len(e) + 1 for e in edges])[:-1]), float(done[-1]), 0.7)
     assert model.score(pos).mean() > 0.8 and model.score(neg).mean() < 0.3
+    w = np.random.default_rng(1).normal(0, 0.05, width + 1)
+    value, grad = whole(w)
+    for k in (0, 7, width - 1, width):
+        step = np.zeros(width + 1)
+        step[k] = 1e-6
+        assert (whole(w + step)[0] - value) / 1e-6 == pytest.approx(grad[k], rel=1e-3, abs=1e-6)
+
+
+def test_training_sums_over_all_unlabelled_rows(spark):
+    """From the same start, passes over the table take the steps that all rows in memory give."""
+    pos, neg, unl, _ = risk_rows(400)
+    rows = [(i, x.tolist()) for i, x in enumerate(np.concatenate([pos, unl]).astype(np.float32))]
+    table = spark.createDataFrame(rows, "id long, features array<float>")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(pos))], "doc_id long, quality int")
+    out = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 5]
+    p, u = ([rows[i][1] for i in out if (i < len(pos)) == side] for side in (True, False))
+    given = {"prior": 0.7, "sample_bound": 1000, "rounds": 0, "decay": 1e-3, "last_rate": 0.1}
+    model = pu_quality.train(table, labels, passes=7, **given)
+    width = sum(len(e) + 1 for e in model.edges)
+    au, at = (pu_quality.indexed(np.array(x, dtype=np.float64), model.edges) for x in (u, p))
+    want = pu_quality.adam(np.append(np.zeros(width), np.log(0.7 / 0.3)), lambda w: pu_quality.risk(w, at, pu_quality.unlabelled_part(au, w, width), 0.7, 1e-3)[1], 7, 0.1)
+    assert np.allclose(np.append(np.concatenate(model.weights), model.bias), want)
+    small = given | {"sample_bound": 50, "rounds": 30, "passes": 2}
+    once, again = (pu_quality.train(t, labels, **small) for t in (table.orderBy("id"), table.repartition(3)))
+    assert np.allclose(np.concatenate(again.weights), np.concatenate(once.weights))
 
 
 # ------------------------------------------------------------------ the graph
