@@ -18,14 +18,14 @@ def _or_empty(c: Column) -> Column:
 
 def as_list(raw: Column | str) -> Column:
     """array<variant> of a JSON text: a list as it is, another value as the only element, nothing for junk."""
-    v = F.try_parse_json(_c(raw))
+    v = F.try_parse_json(text.drop_lone_surrogates(_c(raw)))
     empty = F.expr("cast(array() as array<variant>)")
     return F.when(v.isNull() | F.is_variant_null(v), empty).otherwise(F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
 
 
 def as_map(raw: Column | str) -> Column:
     """map<string,string> of a JSON object text; empty for anything else."""
-    return F.coalesce(F.from_json(_c(raw), "map<string,string>"), F.expr("cast(map() as map<string,string>)"))
+    return F.coalesce(F.from_json(text.drop_lone_surrogates(_c(raw)), "map<string,string>"), F.expr("cast(map() as map<string,string>)"))
 
 
 def first_non_empty(*columns: Column) -> Column:

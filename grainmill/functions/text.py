@@ -41,7 +41,7 @@ def clean(c: Column | str) -> Column:
     return strip(F.regexp_replace(t, "\n{3,}", "\n\n"))
 
 
-#: Steps of detokenizing after the quotes, in their order: pattern and replacement.
+#: Steps of detokenizing after the quotes, in their order: pattern and replacement.
 _DETOKENIZE = (
     (rf"(?i){WS}*<{WS}*newline{WS}*>{WS}*", "\n"),
     (rf"\A{WS}*\[{WS}*[A-Z]{{2,3}}{WS}*\]{WS}*", ""),

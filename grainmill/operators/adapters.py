@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions import arrays, fixed, text
 from grainmill.operators import selection
+from grainmill.sources.scratch import once
 
 META = ("source", "slice", "license", "genre", "category", "book_id", "plot")
 
@@ -31,7 +32,7 @@ def _turns(df: DataFrame, column: str) -> Column:
 
 def _accept(df: DataFrame, **limits: float) -> DataFrame:
     """Quality of the answer first, being the cheaper test; then safety of both sides."""
-    return df.where(text.quality_ok("assistant", **limits)).where(text.is_sfw("user", "assistant"))
+    return once(df).where(text.quality_ok("assistant", **limits)).where(text.is_sfw("user", "assistant"))
 
 
 def _emit(df: DataFrame, *order: str) -> DataFrame:
@@ -54,12 +55,12 @@ def screenplay(
     )
     good = _emit(_accept(shaped, max_len=9000))
     limit = F.when(F.col("slice") == "screenplay_voice", voice_cap).otherwise(structure_cap)
-    return selection.cap(good, limit, ["slice"], ["pos"]).where(limit > 0)
+    return selection.cap(good, limit, ["slice"], ["pos"], max(voice_cap, structure_cap)).where(limit > 0)
 
 
 def multichar(df: DataFrame, cap: int, max_scan: int, source: str = "agentlans/multi-character-dialogue", license: str = "cc-by-4.0") -> DataFrame:
     """Dialogues from JSON texts: ``setting``, ``conversation`` and ``characters``."""
-    rows = selection.scan_limit(df, max_scan).select(text.clean("setting").alias("setting"), arrays.as_list("conversation").alias("turns"), arrays.as_map("characters").alias("cast"), "pos")
+    rows = once(selection.scan_limit(df, max_scan).select(text.clean("setting").alias("setting"), arrays.as_list("conversation").alias("turns"), arrays.as_map("characters").alias("cast"), "pos"))
     rows = rows.where((F.col("setting") != "") & (F.size("turns") >= 3))
     names = arrays.first_keys("cast")
     user = F.concat(F.lit(f"{fixed.SCENE_PROMPT}\nSetting: "), F.col("setting"), F.when(names != "", F.concat(F.lit("\nCharacters: "), names)).otherwise(""))
@@ -69,7 +70,7 @@ def multichar(df: DataFrame, cap: int, max_scan: int, source: str = "agentlans/m
 
 def dramabench(df: DataFrame, cap: int, max_scan: int, source: str = "FutureMa/DramaBench", license: str = "mit") -> DataFrame:
     """Scripts to be continued: ``title``, ``description``, ``context``, ``continuation``."""
-    rows = selection.scan_limit(df, max_scan).select(*[text.clean(c).alias(c) for c in ("title", "description", "context", "continuation")], "pos")
+    rows = once(selection.scan_limit(df, max_scan).select(*[text.clean(c).alias(c) for c in ("title", "description", "context", "continuation")], "pos"))
     rows = rows.where((F.col("context") != "") & (F.col("continuation") != ""))
     line = lambda label, c, shown: F.when(F.col(c) != "", F.concat(F.lit(f"\n{label}: "), shown)).otherwise("")
     user = F.concat(F.lit(fixed.CONTINUE_PROMPT), line("Title", "title", F.col("title")), line("Premise", "description", text.head("description", 400)), F.lit("\n\n---\n"), text.tail("context", 4000))
@@ -102,7 +103,7 @@ def gutenberg(df: DataFrame, cap: int, max_books: int, per_book: int = 4, normal
 
 def writingprompts(df: DataFrame, cap: int, max_scan: int, min_hits: int = 2, patterns: tuple[str, ...] = fixed.DRAMA_PATTERNS, source: str = "euclaise/writingprompts", license: str = "mit") -> DataFrame:
     """Stories by ``prompt``: tokenized texts, of which the opening must be dramatic."""
-    rows = selection.scan_limit(df, max_scan).select(text.detokenize("prompt").alias("prompt"), text.detokenize("story").alias("story"), "pos").where((F.col("prompt") != "") & (F.col("story") != ""))
+    rows = once(selection.scan_limit(df, max_scan).select(text.detokenize("prompt").alias("prompt"), text.detokenize("story").alias("story"), "pos")).where((F.col("prompt") != "") & (F.col("story") != ""))
     rows = rows.where(text.is_dramatic(F.concat(F.col("prompt"), F.lit(" "), text.head("story", 1500)), min_hits, patterns)).where(text.quality_ok("story", min_len=400, max_len=8000)).where(text.is_sfw("prompt", "story"))
     shaped = rows.select(F.concat(F.lit(fixed.TWIST_PROMPT), F.col("prompt")).alias("user"), F.col("story").alias("assistant"), meta(source=source, slice="writingprompts_twist", license=license).alias("meta"), "pos")
     return selection.cap(_emit(shaped), cap, ["slice"], ["pos"])

@@ -61,8 +61,8 @@ def most_common(df: DataFrame, key: Column, name: str, k: int, tie: Column | Non
 
 
 def yields(df: DataFrame, by: str = "slice", column: str = "assistant") -> DataFrame:
-    """Rows and distinct answers."""
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(column).alias("n_unique"))
+    """Rows and distinct answers, told apart by MD5 so that no text is shuffled."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(F.md5(F.col(column).cast("binary"))).alias("n_unique"))
 
 
 def threshold_counts(df: DataFrame, column: str = "assistant", low: int = 2, high: int = 3, **keywords) -> DataFrame:
@@ -79,5 +79,5 @@ def scan_report(df: DataFrame, kept: Column, by: Column, name: str) -> DataFrame
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "n", by: list[str] | None = None) -> DataFrame:
-    """1-based numbers in order, within groups."""
+    """1-based numbers in order, within groups; without groups one task numbers all, so it is for short lists."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*(by or [F.lit(1)])).orderBy(*order)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions import fixed, text
 from grainmill.operators import adapters, chat, selection, synth
-from grainmill.sources import readers, sinks
+from grainmill.sources import readers, scratch, sinks
 
 ORDER = tuple(s[0] for s in fixed.SLICES)
 
@@ -52,10 +52,15 @@ class Config:
         return selection.scaled_scan(self.slices[name].max_scan, scale)
 
 
-def external(config: Config, sources: dict[str, DataFrame], scale: float = 1.0, isolate: bool = False) -> DataFrame | None:
+#: The sources that an earlier build is extended by, unless others are named.
+EXTENDING = ("screenplay", "gutenberg_melodrama")
+
+
+def external(config: Config, sources: dict[str, DataFrame], scale: float = 1.0, isolate: bool = False, only: tuple[str, ...] | None = None) -> DataFrame | None:
     """All adapters over the sources that are given (by name, with ``pos``), in build order.
 
-    ``isolate``: a source that cannot be analysed is left out, with a line that says so.
+    ``isolate``: the rows of each source are written out on their own, and a source that
+    cannot be read or adapted is left out, with a line that says so.
     """
     cap, scan = lambda s: config.cap(s, scale), lambda s: config.scan(s, scale)
     plans: dict[str, Callable[[DataFrame], DataFrame]] = {}
@@ -67,10 +72,12 @@ def external(config: Config, sources: dict[str, DataFrame], scale: float = 1.0,
             plans[name] = lambda df, n=name, a=adapt: a(df, cap(n), scan(n))
     out = None
     for name, plan in plans.items():
-        if name not in sources:
+        if name not in sources or (only is not None and name not in only):
             continue
         try:
             rows = plan(sources[name])
+            if isolate:
+                rows = scratch.keep(rows, "adapted")
         except Exception as error:
             if not isolate:
                 raise
@@ -103,13 +110,15 @@ def new(spark: SparkSession, config: Config, sources: dict[str, DataFrame], prom
     return selection.split(wrapped.select("messages", "meta", "key"), "key", config.seed, config.share)
 
 
-def augment(spark: SparkSession, base: DataFrame, config: Config, sources: dict[str, DataFrame], prompts: dict[str, str], count_base: bool = False) -> DataFrame:
+def augment(spark: SparkSession, base: DataFrame, config: Config, sources: dict[str, DataFrame], prompts: dict[str, str], count_base: bool = False, only: tuple[str, ...] | None = EXTENDING) -> DataFrame:
     """An earlier build and what sources add to it, shuffled and split anew.
 
+    Sources beyond ``only`` add nothing; None lets all of them add.
+
     Keys of the base are taken. Caps count the new rows alone, or with ``count_base`` all rows.
     """
     kept = base.select("messages", "meta", text.norm_key(chat.answer("messages")).alias("key"))
-    rows = external(config, sources, isolate=True)
+    rows = external(config, sources, isolate=True, only=only)
     if rows is not None:
         fresh = selection.first_wins(selection.new_rows(_ordered(rows), kept, "key"), "key", ["ord", "pos"])
         limit = F.lit(None).cast("int")
@@ -120,7 +129,7 @@ def augment(spark: SparkSession, base: DataFrame, config: Config, sources: dict[
             had = kept.groupBy(F.col("meta.slice").alias("slice")).agg(F.count(F.lit(1)).alias("had")).where(F.col("slice").isin(*config.slices))
             fresh = fresh.join(F.broadcast(had), "slice", "left")
             limit = limit - F.coalesce("had", F.lit(0))
-        fresh = selection.cap(fresh, limit, ["slice"], ["pos"])
+        fresh = selection.cap(fresh, limit, ["slice"], ["pos"], max((config.cap(name, 1.0) for name in config.slices), default=0))
         kept = kept.unionByName(chat.wrap(fresh, {k: prompts[v.system] for k, v in config.slices.items()}).select("messages", "meta", "key"))
     return selection.split(kept, "key", config.seed, config.share, guard=False)
 
@@ -133,7 +142,7 @@ def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             found[name] = selection.with_position(spark.read.parquet(f"{folder}/{name}"))
     if readers.exists(spark, f"{folder}/multichar"):
         schema = "setting string, conversation string, characters string"
-        found["multichar"] = readers.json_lines(spark, f"{folder}/multichar", schema).withColumn("pos", F.monotonically_increasing_id())
+        found["multichar"] = readers.json_lines(spark, f"{folder}/multichar", schema, position="pos")
     return found
 
 

@@ -6,6 +6,7 @@ to do (no stray blanks, no reasoning blocks), both sides put the same noise in f
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from grainmill.functions import arrays, fixed, text
 from grainmill.operators import adapters, card, cast, chat, selection, synth
 from grainmill.plans import twins as q
+from grainmill.sources import readers, scratch, sinks
 
 #: Keywords that occur in the driver's invented prose.
 PROSE = ("the", "that", "and", r"un\w*", "les?", "der", r"lo[s]?", r"qu\w*")
@@ -91,7 +93,7 @@ def augment_anti_join(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ the build
 def build(spark: SparkSession, sf: str) -> DataFrame:
     """Clean, gate, keep the first of each key, wrap as chat, split."""
-    rows = _docs(spark, sf).select("doc_id", "lang", "source", text.clean("text").alias("assistant"))
+    rows = scratch.once(_docs(spark, sf).select("doc_id", "lang", "source", text.clean("text").alias("assistant")))
     good = rows.where(text.quality_ok("assistant")).where(text.is_sfw("assistant"))
     first = selection.first_wins(good.withColumn("key", text.norm_key("assistant")), "key", ["lang", "doc_id"])
     license = F.when(F.col("source") != "src3", F.col("source"))
@@ -115,6 +117,50 @@ def stride_sample(spark: SparkSession, sf: str) -> DataFrame:
     return selection.stride_sample(build(spark, sf)).select("doc_id", "place")
 
 
+def card_row(spark: SparkSession, sf: str) -> DataFrame:
+    """The data card with its maps as JSON."""
+    row = card.card(build(spark, sf), scale=1.0)
+    return row.select("total_rows", "train_rows", "val_rows", "approx_tokens", *[F.to_json(c).alias(c) for c in ("by_slice", "by_license", "sources")], "format", "policy", "scale")
+
+
+def chat_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The build written as JSON lines and read back, both splits."""
+    built, out = build(spark, sf), f"{scratch.root(spark)}/grainmill-chat-{uuid.uuid4().hex}"
+    for part in ("train", "val"):
+        sinks.json_lines(built.where(F.col("split") == part).select("messages", "meta"), f"{out}.{part}.jsonl")
+    rows = readers.chat_splits(spark, f"{out}.train.jsonl", f"{out}.val.jsonl")
+    return rows.select("split", F.col("meta.slice").alias("slice"), "meta.license", chat.as_json("messages").alias("json"))
+
+
+def first_match(spark: SparkSession, sf: str) -> DataFrame:
+    """The first row of a slice in shuffled order."""
+    found = readers.first_match(build(spark, sf).select("doc_id", "place", F.col("meta.slice").alias("slice")), F.col("slice") == "fr", ["place"])
+    return spark.createDataFrame([found], "doc_id long, place long, slice string")
+
+
+def shards_of_two_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables as shards of one source, each with the wanted columns that it has."""
+    rows = readers.parquet_by_intersection(spark, [f"{sf}/documents.parquet", f"{sf}/benchmark.parquet"], ["doc_id", "item_id", "text", "missing"])
+    return rows.select("doc_id", "item_id", F.length("text").alias("n_chars"))
+
+
+def json_lines_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON lines in several files, every tenth line cut short: places count all lines."""
+    out = f"{scratch.root(spark)}/grainmill-lines-{uuid.uuid4().hex}"
+    line = F.to_json(F.struct("doc_id", F.left("text", F.lit(40)).alias("text")))
+    broken = _docs(spark, sf).select("doc_id", F.when(F.col("doc_id") % 10 == 3, F.left(line, F.lit(12))).otherwise(line).alias("value"))
+    broken.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(out)
+    return readers.json_lines(spark, out, "doc_id long, text string", position="pos")
+
+
+def bible_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The character table as one JSON array in a file, and how many of each gender it holds."""
+    out = f"{scratch.root(spark)}/grainmill-bible-{uuid.uuid4().hex}"
+    whole = F.to_json(F.array_sort(F.collect_list(F.struct("pos", *cast.COLUMNS))))
+    _bible(spark).agg(whole.alias("value")).write.text(out)
+    return cast.genders(readers.json_array(spark, out))
+
+
 def threshold_counts(spark: SparkSession, sf: str) -> DataFrame:
     return card.threshold_counts(_docs(spark, sf), "text", 2, 30, patterns=PROSE)
 
@@ -231,7 +277,7 @@ def zip_longest(spark: SparkSession, sf: str) -> DataFrame:
 # -------------------------------------------------------------- training rows
 def _trained(spark: SparkSession, sf: str) -> DataFrame:
     rows = _talks(spark, sf).select("conv_id", F.transform("turns", lambda t: F.struct(t["from"].alias("role"), t["value"].alias("content"))).alias("messages"))
-    return chat.training_rows(rows, max_len=2048)
+    return chat.training_rows(rows, max_len=q.MAX_LEN)
 
 
 def render_chat(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,6 +336,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "card_by_license": lambda spark, sf: card.by_license(build(spark, sf)),
     "card_totals": lambda spark, sf: card.totals(build(spark, sf)),
     "chat_json": chat_json,
+    "card_row": card_row,
+    "chat_splits": chat_splits,
+    "first_match": first_match,
+    "shards_of_two_schemas": shards_of_two_schemas,
+    "json_lines_positions": json_lines_positions,
+    "bible_array": bible_array,
     "shuffle_split": shuffle_split,
     "stride_sample": stride_sample,
     "threshold_counts": threshold_counts,
@@ -346,13 +398,25 @@ ORACLES: dict[str, str] = {
     "fold_slices": q.fold(["en", "fr", "de", "es"], 150),
     "augment_anti_join": f"""{q.KEYED} SELECT doc_id, lang, key FROM keyed
         WHERE lang <> 'en' AND NOT EXISTS (SELECT 1 FROM keyed b WHERE b.lang = 'en' AND b.key = keyed.key) QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id) = 1""",
-    "card_by_slice": f"{q.build(PROMPTS, CAP, SEED)} SELECT lang AS slice, split, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_chars FROM built GROUP BY ALL",
-    "card_by_license": f"{q.build(PROMPTS, CAP, SEED)} SELECT coalesce(license, '?') AS license, count(*) AS n_rows FROM built GROUP BY ALL",
-    "card_totals": f"{q.build(PROMPTS, CAP, SEED)} SELECT count(*) AS total_rows, count_if(split = 'train') AS train_rows, count_if(split = 'val') AS val_rows, (coalesce(sum(n_chars), 0) // 4)::BIGINT AS approx_tokens FROM built",
-    "chat_json": f"""{q.build(PROMPTS, CAP, SEED)} SELECT doc_id, to_json({{'messages': [{{'role': 'system', 'content': system}}, {{'role': 'user', 'content': question}}, {{'role': 'assistant', 'content': assistant}}]}})::VARCHAR AS json,
+    "card_by_slice": f"{q.build(PROMPTS, SEED)} SELECT lang AS slice, split, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_chars FROM built GROUP BY ALL",
+    "card_by_license": f"{q.build(PROMPTS, SEED)} SELECT coalesce(license, '?') AS license, count(*) AS n_rows FROM built GROUP BY ALL",
+    "card_totals": f"{q.build(PROMPTS, SEED)} SELECT count(*) AS total_rows, count_if(split = 'train') AS train_rows, count_if(split = 'val') AS val_rows, (coalesce(sum(n_chars), 0) // 4)::BIGINT AS approx_tokens FROM built",
+    "chat_json": f"""{q.build(PROMPTS, SEED)} SELECT doc_id, to_json({{'messages': [{{'role': 'system', 'content': system}}, {{'role': 'user', 'content': question}}, {{'role': 'assistant', 'content': assistant}}]}})::VARCHAR AS json,
         n_chars, assistant AS answer FROM built""",
-    "shuffle_split": f"{q.build(PROMPTS, CAP, SEED)} SELECT doc_id, place, total, split FROM built",
-    "stride_sample": f"{q.build(PROMPTS, CAP, SEED)} SELECT doc_id, place FROM built WHERE place % greatest(1, total // 30) = 0 AND place // greatest(1, total // 30) < 30",
+    "card_row": f"""{q.build(PROMPTS, SEED)}, pairs AS (SELECT lang AS s, coalesce(license, '?') AS l FROM built),
+        maps AS (SELECT (SELECT '{{' || string_agg('"' || s || '":' || n, ',' ORDER BY s) || '}}' FROM (SELECT s, count(*) AS n FROM pairs GROUP BY s)) AS by_slice,
+            (SELECT '{{' || string_agg('"' || l || '":' || n, ',' ORDER BY l) || '}}' FROM (SELECT l, count(*) AS n FROM pairs GROUP BY l)) AS by_license,
+            (SELECT '{{' || string_agg('"' || s || '":"' || l || '"', ',' ORDER BY s) || '}}' FROM (SELECT s, min(l) AS l FROM pairs GROUP BY s)) AS sources)
+        SELECT count(*) AS total_rows, count_if(split = 'train') AS train_rows, count_if(split = 'val') AS val_rows, (coalesce(sum(n_chars), 0) // 4)::BIGINT AS approx_tokens,
+            any_value(by_slice) AS by_slice, any_value(by_license) AS by_license, any_value(sources) AS sources, '{card.FORMAT}' AS format, '{card.POLICY}' AS policy, 1.0::DOUBLE AS scale FROM built, maps""",
+    "chat_splits": f"""{q.build(PROMPTS, SEED)} SELECT split, lang AS slice, license,
+        to_json({{'messages': [{{'role': 'system', 'content': system}}, {{'role': 'user', 'content': question}}, {{'role': 'assistant', 'content': assistant}}]}})::VARCHAR AS json FROM built""",
+    "first_match": f"{q.build(PROMPTS, SEED)} SELECT doc_id, place, lang AS slice FROM built WHERE lang = 'fr' ORDER BY place LIMIT 1",
+    "shards_of_two_schemas": "SELECT doc_id, NULL::BIGINT AS item_id, length(text)::INTEGER AS n_chars FROM documents UNION ALL SELECT NULL, item_id, length(text)::INTEGER FROM benchmark",
+    "json_lines_positions": "SELECT doc_id, left(text, 40) AS text, pos FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents) WHERE doc_id % 10 <> 3",
+    "bible_array": f"SELECT gender, count(*) AS n_rows FROM (VALUES {q.BIBLE}) AS t(pos, {', '.join(cast.COLUMNS)}) GROUP BY gender",
+    "shuffle_split": f"{q.build(PROMPTS, SEED)} SELECT doc_id, place, total, split FROM built",
+    "stride_sample": f"{q.build(PROMPTS, SEED)} SELECT doc_id, place FROM built WHERE place % greatest(1, total // 30) = 0 AND place // greatest(1, total // 30) < 30",
     "threshold_counts": f"""WITH h AS (SELECT text, {q.hits('text', PROSE)} AS h FROM documents)
         SELECT count(*) AS scanned, count_if(h >= 2) AS at_low, count_if(h >= 30) AS at_high, count(DISTINCT CASE WHEN h >= 2 THEN text END) AS unique_at_low FROM h""",
     "yield_unique": "SELECT lang, count(*) AS n_rows, count(DISTINCT text) AS n_unique FROM documents GROUP BY lang",

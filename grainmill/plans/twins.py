@@ -107,13 +107,12 @@ def fold(langs: list[str], limit: int) -> str:
     return f"{KEYED}, {', '.join(steps)} " + " UNION ALL ".join(f"SELECT doc_id, lang, key FROM s{k}" for k in seen)
 
 
-def build(prompts: dict[str, str], cap: int, seed: int) -> str:
+def build(prompts: dict[str, str], seed: int) -> str:
     system = "CASE lang " + " ".join(f"WHEN '{k}' THEN {quote(v)}" for k, v in prompts.items()) + " END"
     return f"""WITH cleaned AS (SELECT doc_id, lang, source, {clean('text')} AS assistant FROM documents),
         good AS (SELECT * FROM cleaned WHERE {reason('assistant')} IS NULL AND {is_sfw('assistant')}),
         firsts AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY {key('assistant')} ORDER BY lang, doc_id) = 1),
-        capped AS (SELECT * FROM firsts QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= {cap}),
-        shaped AS (SELECT *, {system} AS system, 'Continue: ' || left(assistant, 40) AS question, CASE WHEN source <> 'src3' THEN source END AS license FROM capped),
+        shaped AS (SELECT *, {system} AS system, 'Continue: ' || left(assistant, 40) AS question, CASE WHEN source <> 'src3' THEN source END AS license FROM firsts),
         placed AS (SELECT *, row_number() OVER (ORDER BY md5('{seed}:' || doc_id), doc_id::VARCHAR) - 1 AS place, count(*) OVER () AS total FROM shaped),
         built AS (SELECT *, length(system) + length(question) + length(assistant) AS n_chars,
             CASE WHEN place < (CASE WHEN total > 20 THEN greatest(1, floor(total * (1 - 0.98::DOUBLE))::BIGINT) ELSE 0 END) THEN 'val' ELSE 'train' END AS split FROM placed)"""
@@ -203,8 +202,10 @@ def _ids(x: str) -> str:
     return f"list_transform(list_filter(string_split_regex({x}, '\\s+'), lambda w: w <> ''), lambda w: ('0x' || left(md5(w), 7))::BIGINT % 50000)"
 
 
+#: Tokens that a training row is cut to.
+MAX_LEN = 2048
 MASKED = f"""{RENDERED}, tokens AS (SELECT conv_id, {_ids('whole')} AS f, len({_ids('prompt')}) AS p FROM rendered),
-    masked AS (SELECT conv_id, f[1:64] AS ids, (list_transform(f, lambda x, i: CASE WHEN i <= p THEN -100 ELSE x END))[1:64] AS labels, list_transform(f[1:64], lambda x: 1) AS ones FROM tokens WHERE len(list_filter((list_transform(f, lambda x, i: CASE WHEN i <= p THEN -100 ELSE x END))[1:64], lambda x: x <> -100)) > 0)"""
+    masked AS (SELECT conv_id, f[1:{MAX_LEN}] AS ids, (list_transform(f, lambda x, i: CASE WHEN i <= p THEN -100 ELSE x END))[1:{MAX_LEN}] AS labels, list_transform(f[1:{MAX_LEN}], lambda x: 1) AS ones FROM tokens WHERE len(list_filter((list_transform(f, lambda x, i: CASE WHEN i <= p THEN -100 ELSE x END))[1:{MAX_LEN}], lambda x: x <> -100)) > 0)"""
 
 
 def padding(value: str) -> str:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from grainmill.functions import text
+from grainmill.sources import scratch
 
 MESSAGES = "messages array<struct<role:string,content:string>>, meta struct<source:string,slice:string,license:string,genre:string,category:string,book_id:string,plot:string>"
 
@@ -29,13 +32,44 @@ def parquet_by_intersection(spark: SparkSession, paths: list[str], columns: list
     return out
 
 
-def json_lines(spark: SparkSession, path: str, schema: str | StructType | None = None, malformed: str = "drop") -> DataFrame:
-    """JSON lines, plain or gzipped. ``malformed``: "drop" or "fail". Without a schema: one variant column ``row``."""
-    if schema is not None:
-        return spark.read.schema(schema).option("mode", {"drop": "DROPMALFORMED", "fail": "FAILFAST"}[malformed]).json(path)
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    parse = F.try_parse_json if malformed == "drop" else F.parse_json
-    return lines.select(parse("value").alias("row")).where("row is not null")
+def json_lines(spark: SparkSession, path: str, schema: str | StructType | None = None, malformed: str = "drop", position: str | None = None) -> DataFrame:
+    """JSON lines, plain or gzipped. ``malformed``: "drop" or "fail". Without a schema: one variant column ``row``.
+
+    Escapes of lone surrogates are taken out before a line is parsed. ``position`` names a
+    gapless place in (file, line) order, blank and malformed lines included; lines are then
+    written out once, in the order in which they were read.
+    """
+    lines = spark.read.text(path)
+    if position is not None:
+        lines = _numbered(lines, position)
+    kept = [position] if position is not None else []
+    lines = lines.where(F.length(F.trim("value")) > 0).select(text.drop_lone_surrogates("value").alias("value"), *kept)
+    if schema is None:
+        parse = F.try_parse_json if malformed == "drop" else F.parse_json
+        return lines.select(parse("value").alias("row"), *kept).where("row is not null")
+    fields = _struct(spark, schema)
+    if malformed == "fail":
+        return lines.select(F.from_json("value", fields, {"mode": "FAILFAST"}).alias("row"), *kept).select("row.*", *kept)
+    marked = StructType([*fields.fields, StructField("_bad", StringType())])
+    parsed = lines.select(F.from_json("value", marked, {"columnNameOfCorruptRecord": "_bad"}).alias("row"), *kept)
+    return parsed.where("row is not null and row._bad is null").select(*[F.col(f"row.`{f.name}`") for f in fields.fields], *kept)
+
+
+def _struct(spark: SparkSession, schema: str | StructType) -> StructType:
+    return spark.createDataFrame([], schema).schema
+
+
+def _numbered(lines: DataFrame, name: str) -> DataFrame:
+    """Lines with their place: numbers within a split follow the reader, splits follow file and offset.
+
+    The counts that shift them have one row for each split of a file.
+    """
+    read = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
+    read = scratch.keep(read, "lines")
+    splits = read.groupBy("_file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = splits.select("_file", "_at", (before - F.col("_first")).alias("_shift"))
+    return read.join(starts, ["_file", "_at"]).select("value", (F.col("_id") + F.col("_shift")).alias(name))
 
 
 def exists(spark: SparkSession, path: str) -> bool:

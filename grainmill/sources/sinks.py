@@ -18,8 +18,9 @@ def _fs(spark: SparkSession, path: str):
 def json_lines(df: DataFrame, path: str, atomic: bool = True, compression: str = "none") -> None:
     """JSON lines in UTF-8, fields without a value left out.
 
-    With ``atomic`` the rows go to a new folder beside ``path``, which then takes its place,
-    so a reader sees the old rows or the new ones, and a failed write leaves the old.
+    With ``atomic`` the rows go to a new folder beside ``path``. The old folder is renamed
+    aside, the new one takes its place, and only then the old one goes; where the second
+    rename fails, the old folder comes back, so no failure loses it.
     """
     if not atomic:
         df.write.mode("overwrite").option("compression", compression).json(path)
@@ -27,9 +28,16 @@ def json_lines(df: DataFrame, path: str, atomic: bool = True, compression: str =
     fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.option("compression", compression).json(fresh)
     fs, target, jvm = _fs(df.sparkSession, path)
-    fs.delete(target, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(fresh), target):
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    old = at(f"{fresh}.old") if fs.exists(target) else None
+    if old and not fs.rename(target, old):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(at(fresh), target):
+        if old:
+            fs.rename(old, target)
         raise OSError(f"{fresh} could not be renamed to {path}")
+    if old:
+        fs.delete(old, True)
 
 
 def build(placed: DataFrame, out: str, **notes) -> None:

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import json
 import random
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +116,47 @@ def test_dedup_then_cap_equals_the_loop(spark):
         assert sorted(r["pos"] for r in got) == sequential((first, others), limit)
 
 
+@pytest.mark.parametrize("limit", [1000, 1001, 30_000])
+def test_caps_of_any_size_keep_the_first_rows(spark, limit):
+    rows = spark.range(0, 120_000, 1, 6).select(F.pmod(F.col("id") * 7919, F.lit(400_009)).alias("pos"), F.when(F.col("id") % 4 > 0, "hot").when(F.col("id") % 8 == 0, "cool").alias("slice"))
+    got = selection.cap(rows, limit, ["slice"], ["pos"]).collect()
+    by = {}
+    for r in rows.collect():
+        by.setdefault(r["slice"], []).append(r["pos"])
+    assert sorted((r["slice"] or "", r["pos"]) for r in got) == sorted((s or "", p) for s, ps in by.items() for p in sorted(ps)[:limit])
+
+
+def test_no_window_of_a_large_cap_ranks_a_whole_slice(spark):
+    rows = spark.range(100).select(F.col("id").alias("pos"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("slice"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for limit in (1001, 30_000):
+        ranks = [x for x in plan(selection.cap(rows, limit, ["slice"], ["pos"])).splitlines() if "Window" in x and "row_number" in x]
+        assert ranks and all("_run0" in x for x in ranks)
+    column = F.when(F.col("slice") == "a", 7).otherwise(3)
+    assert "WindowGroupLimit" in plan(selection.cap(rows, column, ["slice"], ["pos"], 7))
+    assert selection.cap(rows, column, ["slice"], ["pos"], 7).count() == selection.cap(rows, column, ["slice"], ["pos"], 7000).count() == 10
+
+
+def test_lines_of_several_files_keep_their_places(spark, tmp_path):
+    texts = [json.dumps({"setting": f"s{i}"}) if i % 7 else ("" if i % 2 else "{oops") for i in range(500)]
+    texts[3] = '{"setting": "x\\ud800y"}'
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, value string").repartitionByRange(7, "i").sortWithinPartitions("i").select("value").write.text(str(tmp_path / "lines"))
+    for schema, field in (("setting string", F.col("setting")), (None, F.try_variant_get("row", "$.setting", "string"))):
+        rows = readers.json_lines(spark, str(tmp_path / "lines"), schema, position="pos").select("pos", field.alias("s")).collect()
+        assert {r["pos"]: r["s"] for r in rows} == {i: "xy" if i == 3 else f"s{i}" for i in range(500) if i % 7}
+
+
+def test_the_entry_works_without_the_optional_folders(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "grainmill", tmp_path / "grainmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    check = "import __spark_entry__ as e; q = e.queries(); assert 'card_row' in q and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
+    for extra in ([], ["corpus_pipeline.py"]):
+        for name in extra:
+            (tmp_path / name).write_text("from grainmill.llm import mixing\n")
+        subprocess.run([sys.executable, "-c", check], cwd=tmp_path, check=True)
+
+
 def test_scaling():
     assert selection.scaled(7500, 0.01) == 75 and selection.scaled(30, 0.01) == 1 and selection.scaled_scan(800, 0.01) == 50 and selection.scaled_scan(None, 1.0) == 10_000
 
