@@ -2,34 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in tests on one machine.
-LOCAL_SCRATCH = "file:///tmp/checkpoints"
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``), or a local one if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = LOCAL_SCRATCH
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+from grainmill.sources import scratch
 
-
-def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and return the table read back.
-
-    This cuts the lineage with files that every executor can read, so a lost executor
-    costs a retry of its own tasks only.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/grainmill-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+scratch_root, materialize = scratch.root, scratch.keep
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
