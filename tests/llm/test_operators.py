@@ -97,6 +97,28 @@ def test_vectors_match_brute_force(spark, sizes):
     assert rows_of(found, "id", "n_links", "component_id", "kept") == brute_vectors(rows)
 
 
+def test_vectors_that_repeat_ids_across_and_within_labels(spark):
+    rng = np.random.default_rng(4)
+    near = lambda c: [float(x) for x in np.eye(5)[c] + rng.normal(size=5) * 0.01]
+    rows = [(5, near(0), 1), (6, near(0), 1), (5, near(1), 2), (7, near(1), 2), (8, near(1), 2), (9, near(2), 1), (9, near(2), 1), (9, near(3), 2), (4, near(3), 2), (9, None, 1), (11, [1.0, 0.0, 0.0, 0.0, 0.0], 3), (11, [1.0, 0.0, 0.0, 0.0, 0.0], 3)]
+    want = brute_vectors(rows)
+    assert want[5, 1, 5, True] == want[5, 2, 5, True] == 1 and want[11, 1, 11, True] == 2 and want[9, 1, 4, False] == 3
+    for kind, mark in (("int", int), ("string", str)):
+        df = spark.createDataFrame([(i, v, mark(c), "x", 1.0) for i, v, c in rows], f"vec_id long, embedding array<double>, label {kind}, rep string, no double")
+        assert rows_of(vector_dedup.vector_dedup(df, cell_rows=2, block_rows=2), "id", "n_links", "component_id", "kept") == want
+
+
+def test_cosines_at_the_threshold_are_summed_exactly():
+    a, b = vector_dedup.unit(np.random.default_rng(0).normal(size=(2, 30, 64)).reshape(60, 64)).reshape(2, 30, 64)
+    exact = float(math.fsum(a[3] * b[7]))
+    numbers = np.arange(60)
+    for home, other, hid, oid in ((a, b, numbers[:30], numbers[30:]), (b, a, numbers[30:], numbers[:30])):
+        at = (3, 7) if home is a else (7, 3)
+        for limit, linked in ((exact, True), (np.nextafter(exact, 2), False)):
+            links, *_ = vector_dedup.block_links(home[[at[0]]], hid[[at[0]]], other[[at[1]]], oid[[at[1]]], np.ones(1, np.int64), limit)
+            assert bool(links[0]) == linked
+
+
 def test_vectors_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vector_dedup.vector_dedup(df).count() == 0
