@@ -1,41 +1,42 @@
 """Language-model scoring by cross-entropy difference.
 
 Two bigram models, of target documents and of the background (all documents), share one
-vocabulary: every word of the background. Background counts are scaled to the size of the
-target, so both models are smoothed alike and the same relative counts give the same loss
-(matched models):
+vocabulary: all words of the background. Background counts b are scaled to the size of the
+target (by bytes), and the target's counts t are mixed with them, so both models are smoothed
+alike and the same relative counts give the same loss (matched models):
 
-    p(w)   = (c(w) + a) / (N + a V)
-    p(w|v) = (c(v, w) + m p(w)) / (c(v) + m)
+    background  p(w|v) = b(v, w) / (b(v) + m)
+    target      p(w|v) = u(v, w) / (u(v) + m),   u = (1 - mix) t + mix b
 
-c(v) counts v wherever it stands, so what is missing to one is the chance that a text ends
-there; the start of a text is a context that occurs once in every text with words. A
-document's score is the mean over its tokens of background loss minus target loss, in
-nats: above zero it is more like the target than like the background.
+v counts where a word follows it, and the start of a text is a context, too; m is the weight
+of all words not seen after v. Every bigram of a document is in the background, so none is
+left to that weight. A document's score is the mean over its tokens of background loss minus
+target loss, in nats: above zero it is more like the target than like the background.
 
-Tokens are words between ASCII white space. Every word and every bigram of every document
+Tokens are words between ASCII white space. Every context and every bigram of every document
 is in the models, also those that occur once, so the models grow with the corpus, and no
-task and not the driver ever holds them as a whole:
+task and not the driver ever holds them as a whole. A loss is a term of the context and a
+term of the bigram, so it is summed where the counts are:
 
-1. Rows are told apart in *blocks*, runs of rows of a file of about the same size, of
-   `BLOCK_BYTES` at most (longer texts are blocks of their own).
-2. One pass hashes words and bigrams to 64-bit keys and counts them by block; a frequent
-   word is one entry of its block. Keys, cut into ranges (*buckets*), meet in one shuffle.
-3. A bucket adds up its counts and answers each block with the totals of its keys. Keys
-   that occur once in the corpus need no answer: their counts follow from the document.
-4. Answers and texts of a block meet, and each text is scored against its block's answers.
+1. One pass over the texts hashes contexts and bigrams to 64-bit keys. A task collects some
+   millions of them in a *unit*: distinct keys, and for each the documents it occurs in.
+2. Units, cut into ranges of keys (*buckets*), meet in one shuffle. A bucket adds up the
+   counts of its keys and then the terms of each document. A frequent key is one entry of a
+   unit, so it is no hot key.
+3. The sums of a document are added over buckets.
 
-The target is marked by block and place in the block (`marked`), so texts move only in
-step 4.
+The target is marked by file and row (`marked`), and texts are never shuffled where Spark
+finds the marks (four bytes for each target row) small enough to broadcast.
 
-Keys are compared by hash: among n words and bigrams about n * n / 2 ** 64 pairs share a
+Keys are compared by hash: among n contexts or bigrams about n * n / 2 ** 64 pairs share a
 key (2 ** 63 keys for each kind), and then share their counts.
 
 Defined cases: null, empty and blank texts have no tokens, null losses and a null score, and
 are not kept; repeated rows and ids count and are scored as rows of their own, and a target
 id marks all of its rows; null ids are background; without any target text the target model
-is uniform; an empty table gives an empty result; very long texts are hashed in pieces cut
-between words, and a text's keys are held at once; other columns are not read.
+is the background's, mixed down; an empty table gives an empty result; very long texts are
+hashed in pieces cut between words, and a text's keys are held at once; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -45,21 +46,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.llm.common import materialize, worker_cache
 
-#: Text of a block, text hashed at a time, tokens held before counts are handed on or texts scored, and text for each bucket.
-BLOCK_BYTES, PIECE, HELD, BUCKET_BYTES = 1 << 26, 1 << 20, 1_500_000, 1 << 22
-#: The context before the first word. Words have even keys, bigrams odd ones.
+#: Rows that are marked together, text hashed at a time, tokens of a unit, and text for each bucket.
+MARKED, PIECE, HELD, BUCKET_BYTES = 1 << 13, 1 << 20, 3_000_000, 1 << 24
+#: Documents of a unit; the bit above their numbers marks the target.
+DOCS = 1 << 15
+#: The context before the first word. Contexts have even keys, bigrams odd ones.
 START = np.uint64(0x5374617274206F66 & ~1)
 _EVEN, _ONE = np.uint64(~np.uint64(1)), np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64)
-_COUNTS = "block long, keys binary, b binary, t binary, v long, nb long, nt long"
+_UNITS = "bucket long, unit long, keys binary, n binary, docs binary, ids array<long>"
+_SUMS = "unit long, doc int, id long, n long, target double, background double"
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,17 +145,16 @@ def word_keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, np.uint64), *keys]), words
 
 
-def bigram_keys(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """A key for each word and the one before it in its text."""
+def context_keys(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The key of the word before each word in its text."""
     before = np.empty_like(keys)
     before[1:] = keys[:-1]
-    firsts = (np.cumsum(words) - words)[words > 0]
-    before[firsts] = START
-    return _mix(before * np.uint64(0xD6E8FEB86659FD93) + keys) | _ONE
+    before[(np.cumsum(words) - words)[words > 0]] = START
+    return before
 
 
-def _counted(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
+def bigram_keys(keys: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    return _mix(contexts * np.uint64(0xD6E8FEB86659FD93) + keys) | _ONE
 
 
 def _slices(batch: pa.RecordBatch, column: int, most: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
@@ -167,8 +171,8 @@ def _slices(batch: pa.RecordBatch, column: int, most: int = 4 * PIECE) -> Iterat
         yield batch.slice(at)
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, size, block, slot): rows with a place that any scan of the same files gives them."""
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, block, slot): rows with a place that any scan of the same files gives them."""
     text = F.col(f"`{text_col}`").cast("string").cast("binary")
     wanted = [F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")]
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
@@ -177,167 +181,102 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows.schema  # noqa: B018
     except AnalysisException:  # not read from files with row numbers
         rows = materialize(docs.select(*wanted), "lm-docs").select("id", "text", *place)
-    size = F.coalesce(F.octet_length("text"), F.lit(0))
-    # Texts of up to 2 ** kind bytes; as many to a block as fill it.
-    kind = F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(1)))), F.lit(12)).cast("int")
-    per = F.greatest(F.lit(BLOCK_BYTES) / F.pow(F.lit(2.0), kind), F.lit(1)).cast("long")
-    return rows.select("id", "text", size.cast("long").alias("size"), F.xxhash64("_file", kind, F.expr("_row") - F.expr("_row") % per).alias("block"), (F.expr("_row") % per).cast("int").alias("slot"))
+    slot = F.col("_row") % MARKED
+    return rows.select("id", "text", F.xxhash64("_file", F.col("_row") - slot).alias("block"), slot.cast("int").alias("slot"))
 
 
-def marked(rows: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """(block, id, target, text) of rows in blocks; ``target`` tells the rows of the target.
+def marked(rows: DataFrame, target_ids: DataFrame) -> tuple[DataFrame, float, int]:
+    """((id, target, text), bytes of the target in those of all, bytes of all).
 
     Ids meet without texts. What goes back to the texts is four bytes for each target row,
     broadcast if Spark finds it small enough by its size and joined by block otherwise.
     """
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("_good")).distinct()
-    found = rows.select("id", "block", "slot").join(ids, F.col("id") == F.col("_good"), "left_semi")
-    slots = materialize(found.groupBy(F.col("block").alias("_block")).agg(F.collect_list("slot").alias("_slots")), "lm-target")
-    both = rows.join(slots, rows["block"] == slots["_block"], "left")
-    return both.select("block", "id", F.coalesce(F.array_contains("_slots", F.col("slot")), F.lit(False)).alias("target"), "text")
+    sized = rows.select("id", "block", "slot", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    found = materialize(sized.join(ids, F.col("id") == F.col("_good"), "left_semi").groupBy(F.col("block").alias("_block")).agg(F.collect_list("slot").alias("_slots"), F.sum("size").alias("size")), "lm-target")
+    part, whole = (df.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for df in (found, sized))
+    both = rows.join(found.select("_block", "_slots"), rows["block"] == F.col("_block"), "left")
+    return both.select("id", F.coalesce(F.array_contains("_slots", F.col("slot")), F.lit(False)).alias("target"), "text"), part / whole if part else 1.0, whole
 
 
-def count(rows: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, block, keys, b, t): counts of words and bigrams by block, cut into buckets."""
+def units(rows: DataFrame, buckets: int) -> DataFrame:
+    """Keys of a unit by bucket, how often each occurs and in which documents; and the ids of the unit's documents.
+
+    Ids come in buckets of their own, with numbers below zero.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
+        part, made = TaskContext.get().partitionId(), 0
+        ids: list = []
+        keys: list[np.ndarray] = []
+        docs: list[np.ndarray] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            for block, (every, of_target) in held.items():
-                keys, b = _counted(every)
-                marked_keys, n = _counted(of_target)
-                t = np.zeros(len(keys), np.uint32)
-                t[np.searchsorted(keys, marked_keys)] = n
-                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                cuts = np.flatnonzero(np.diff(bucket, prepend=buckets, append=buckets)).tolist()
-                b = b.astype(np.uint32)
-                parts = list(zip(cuts, cuts[1:]))  # noqa: B905
-                blobs = [pa.array([x[i:j].tobytes() for i, j in parts], pa.binary()) for x in (keys, b, t)]
-                where = pa.array(bucket[cuts[:-1]].astype(np.int64))
-                yield pa.record_batch([where, pa.array(np.full(len(parts), block, np.int64)), *blobs], names=["bucket", "block", "keys", "b", "t"])
-            held.clear()
+            nonlocal made, size
+            unit = (part << 32) + made
+            every = np.concatenate([np.zeros(0, np.uint64), *keys])
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            where = np.concatenate([np.zeros(0, np.uint16), *docs])[order]
+            at = np.flatnonzero(np.diff(every, prepend=~every[:1]))
+            distinct, n = every[at], np.diff(at, append=len(every)).astype(np.uint32)
+            bucket = ((distinct >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            cuts = np.flatnonzero(np.diff(bucket, prepend=buckets, append=buckets)) if len(distinct) else np.zeros(1, np.int64)
+            bounds = np.append(at, len(every))
+            some = [(distinct[i:j].tobytes(), n[i:j].tobytes(), where[bounds[i] : bounds[j]].tobytes()) for i, j in zip(cuts.tolist(), cuts[1:].tolist())]  # noqa: B905
+            named = [*bucket[cuts[:-1]].tolist(), -1 - unit % buckets]
+            columns = [pa.array([*c, None], pa.binary()) for c in zip(*some)] if some else [pa.array([None], pa.binary())] * 3  # noqa: B905
+            yield pa.record_batch([pa.array(named, pa.int64()), pa.array([unit] * len(named), pa.int64()), *columns, pa.array([None] * len(some) + [ids], pa.list_(pa.int64()))], names=["bucket", "unit", "keys", "n", "docs", "ids"])
+            made, size = made + 1, 0
+            ids.clear()
+            keys.clear()
+            docs.clear()
 
         for whole in batches:
-            for batch in _slices(whole, 3):
-                blocks = batch.column(0).to_numpy()
-                target = batch.column(2).to_numpy(zero_copy_only=False)
-                keys, words = word_keys(batch.column(3).to_pylist())
-                both = bigram_keys(keys, words)
-                home, marks = np.repeat(blocks, words), np.repeat(target, words)
-                first = words > 0
-                for block in np.unique(blocks[first]).tolist():
-                    mine = home == block
-                    every, of_target = held.setdefault(block, ([], []))
-                    starts = first & (blocks == block)
-                    every += [keys[mine], both[mine], np.full(int(starts.sum()), START)]
-                    mine &= marks
-                    of_target += [keys[mine], both[mine], np.full(int((starts & target).sum()), START)]
-                size += len(keys)
-                if size > HELD:
-                    yield from out()
-                    size = 0
-        yield from out()
-
-    return rows.mapInArrow(run, "bucket long, block long, keys binary, b binary, t binary")
-
-
-def _answers(table: pa.Table) -> pa.Table:
-    """The totals of a bucket's keys, for each of its blocks; and the bucket's share of N and V."""
-    blobs = [table.column(c).to_pylist() for c in ("keys", "b", "t")]
-    keys, b, t = (np.frombuffer(b"".join(x), d) for x, d in zip(blobs, ("<u8", "<u4", "<u4"), strict=True))
+            for batch in _slices(whole, 2):
+                for start in range(0, batch.num_rows, DOCS // 4):
+                    piece = batch.slice(start, DOCS // 4)
+                    if len(ids) + piece.num_rows > DOCS or size > HELD:
+                        yield from out()
+                    found, words = word_keys(piece.column(2).to_pylist())
+                    mark = np.arange(len(ids), len(ids) + piece.num_rows, dtype=np.uint16) | (piece.column(1).to_numpy(zero_copy_only=False).astype(np.uint16) * np.uint16(DOCS))
+                    contexts = context_keys(found, words)
+                    keys += [contexts, bigram_keys(found, contexts)]
+                    docs += [np.repeat(mark, words)] * 2
+                    ids += piece.column(0).to_pylist()
+                    size += len(found)
+        if ids:
+            yield from out()
+
+    return rows.select("id", "target", "text").mapInArrow(run, _UNITS)
+
+
+def _summed(table: pa.Table, scale: float, mix: float, strength: float) -> pa.Table:
+    """The terms of a bucket's keys, summed by document; or the documents of units."""
+    names = [x.split()[0] for x in _SUMS.split(", ")]
+    if table.column("bucket")[0].as_py() < 0:
+        numbers = [(u, k, i) for u, ids in zip(table.column("unit").to_pylist(), table.column("ids").to_pylist(), strict=True) for k, i in enumerate(ids)]
+        zero = np.zeros(len(numbers))
+        return pa.table([*(pa.array([x[k] for x in numbers], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64()))), pa.array(zero.astype(np.int64)), pa.array(zero), pa.array(zero)], names=names)
+    blobs = [table.column(c).to_pylist() for c in ("keys", "n", "docs")]
+    keys, n, docs = (np.frombuffer(b"".join(x), d) for x, d in zip(blobs, ("<u8", "<u4", "<u2"), strict=True))
     order = np.argsort(keys, kind="stable")
     fresh = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
-    at = np.flatnonzero(fresh)
     place = np.empty(len(keys), np.int64)
     place[order] = np.cumsum(fresh) - 1
-    sums = [np.add.reduceat(x[order].astype(np.int64), at) for x in (b, t)]
-    distinct = keys[order][at]
-    is_word = (distinct & _ONE == 0) & (distinct != START)
-    totals = [x[place] for x in sums]
-    wanted = totals[0] > 1
-    bounds = np.cumsum([0, *(len(x) // 8 for x in blobs[0])]).tolist()
-    out: list[list] = [[], [], [], []]
-    for block, i, j in zip(table.column("block").to_pylist(), bounds, bounds[1:]):  # noqa: B905
-        w = wanted[i:j]
-        if w.any():
-            for column, value in zip(out, (block, keys[i:j][w].tobytes(), *(x[i:j][w].tobytes() for x in totals)), strict=True):
-                column.append(value)
-    n = len(out[0])
-    share = [int(is_word.sum()), *(int(x[is_word].sum()) for x in sums)]
-    columns = [pa.array([*out[0], None], pa.int64()), *(pa.array([*c, None], pa.binary()) for c in out[1:]), *(pa.array([None] * n + [s], pa.int64()) for s in share)]
-    return pa.table(columns, names=["block", "keys", "b", "t", "v", "nb", "nt"])
-
-
-class Answers:
-    """Totals of a block's keys, and the figures of the whole corpus."""
-
-    def __init__(self, keys: list[bytes], b: list[bytes], t: list[bytes], size: int, nb: int, nt: int, add: float, strength: float):
-        found, d = np.frombuffer(b"".join(keys), "<u8"), np.frombuffer(b"".join(b), "<i8")
-        self.keys, at = np.unique(found, return_index=True)
-        self.counts = np.stack([np.frombuffer(b"".join(t), "<i8")[at], d[at]])
-        self.scale = np.array([[1.0], [nt / nb if nt and nb else 1.0]])
-        self.whole = np.array([[nt], [nb]]) * self.scale + add * size
-        self.add, self.strength = add, strength
-
-    def of(self, keys: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """[target, background] counts; a key without an answer occurs in its document alone."""
-        out = np.stack([target.astype(np.float64), np.ones(len(keys))])
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            out[:, hit] = self.counts[:, at[hit]]
-        return out * self.scale
-
-    def losses(self, keys: np.ndarray, words: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """[target, background] x tokens, in nats."""
-        marks = np.repeat(target, words)
-        word = self.of(keys, marks)
-        context = np.empty_like(word)
-        context[:, 1:] = word[:, :-1]
-        first = (np.cumsum(words) - words)[words > 0]
-        context[:, first] = self.of(np.full(len(first), START), marks[first])
-        weight = self.strength * (word + self.add) / self.whole
-        return -np.log((self.of(bigram_keys(keys, words), marks) + weight) / (context + self.strength))
-
-
-def score(rows: DataFrame, counts: DataFrame, add: float, strength: float) -> DataFrame:
-    """(id, n_tokens, target_loss, background_loss, score) for every row."""
-    size, nb, nt = counts.where("block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("v", "nb", "nt")]).first()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, answers = None, ([], [], []), None
-        for whole in batches:
-            for batch in _slices(whole, 4):
-                at = 0
-                blocks, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-                cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(texts.astype(np.int8)) != 0)) + 1
-                for to in [*cuts.tolist(), batch.num_rows]:
-                    part, at = batch.slice(at, to - at), to
-                    if part.column(0)[0].as_py() != block:
-                        block, held, answers = part.column(0)[0].as_py(), ([], [], []), None
-                    if not part.column(1)[0].as_py():  # answers come before the texts of their block
-                        for k in range(3):
-                            held[k].extend(part.column(5 + k).to_pylist())
-                        continue
-                    if answers is None:
-                        answers, held = Answers(*held, size, nb, nt, add, strength), ([], [], [])
-                    keys, words = word_keys(part.column(4).to_pylist())
-                    losses = answers.losses(keys, words, part.column(3).to_numpy(zero_copy_only=False))
-                    row = np.repeat(np.arange(len(words)), words)
-                    mean = [np.bincount(row, weights=x, minlength=len(words)) / np.maximum(words, 1) for x in losses]
-                    blank = words == 0
-                    yield pa.record_batch(
-                        [part.column(2), pa.array(words), pa.array(mean[0], mask=blank), pa.array(mean[1], mask=blank), pa.array(mean[1] - mean[0], mask=blank)],
-                        names=["id", "n_tokens", "target_loss", "background_loss", "score"],
-                    )
-
-    none = lambda kind: F.lit(None).cast(kind)
-    texts = rows.select("block", F.lit(True).alias("is_text"), "id", "target", "text", *[none("binary").alias(c) for c in ("keys", "b", "t")])
-    told = counts.where("block is not null").select("block", F.lit(False).alias("is_text"), none("long").alias("id"), F.lit(False).alias("target"), none("binary").alias("text"), "keys", "b", "t")
-    met = told.unionByName(texts).repartition("block").sortWithinPartitions("block", "is_text")
-    return met.mapInArrow(run, "id long, n_tokens long, target_loss double, background_loss double, score double")
+    occurs = np.repeat(place, n)
+    b = np.bincount(occurs).astype(np.float64) * scale
+    u = mix * b + (1 - mix) * np.bincount(occurs, weights=docs >= DOCS)
+    context = keys[order][fresh] & _ONE == 0
+    terms = [np.where(context, np.log(x + strength), -np.log(x)) for x in (u, b)]
+    sizes = [len(x) // 2 for x in blobs[2]]
+    whose = np.repeat(np.arange(len(sizes)), sizes) * DOCS + (docs & np.uint16(DOCS - 1))
+    hit = np.flatnonzero(np.bincount(whose, minlength=0))
+    sums = [np.bincount(whose, weights=x[occurs])[hit] for x in terms]
+    tokens = np.bincount(whose, weights=context[occurs])[hit].astype(np.int64)
+    unit = np.array(table.column("unit").to_pylist(), np.int64)[hit // DOCS]
+    return pa.table([pa.array(unit), pa.array((hit % DOCS).astype(np.int32)), pa.array([None] * len(hit), pa.int64()), pa.array(tokens), *(pa.array(x) for x in sums)], names=names)
 
 
 def labelled_target(labels: DataFrame) -> DataFrame:
@@ -346,15 +285,20 @@ def labelled_target(labels: DataFrame) -> DataFrame:
     return good.where("all and id is not null").select("id")
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", add: float = 0.5, strength: float = 50.0, threshold: float = 0.0) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", mix: float = 0.25, strength: float = 5.0, threshold: float = 0.0) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score, kept) for every row of ``docs``.
 
     The first column of ``target_ids`` names the documents of the target; the background is
     ``docs`` as a whole.
     """
-    placed = _blocks(docs, id_col, text_col)
-    rows = marked(placed, target_ids)
-    size = placed.agg(F.sum("size")).first()[0] or 0
-    counted = count(rows, max(1, math.ceil(size / BUCKET_BYTES)))
-    counts = materialize(counted.groupBy("bucket").applyInArrow(_answers, _COUNTS), "lm-counts")
-    return score(rows, counts, add, strength).withColumn("kept", F.coalesce(F.col("score") > threshold, F.lit(False)))
+    rows, scale, size = marked(_placed(docs, id_col, text_col), target_ids)
+    held = units(rows, max(1, math.ceil(size / BUCKET_BYTES)))
+
+    def summed(table: pa.Table) -> pa.Table:
+        return _summed(table, scale, mix, strength)
+
+    sums = held.groupBy("bucket").applyInArrow(summed, _SUMS).groupBy("unit", "doc").agg(F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n", "target", "background")])
+    mean = lambda c: F.when(F.col("n") > 0, F.col(c) / F.col("n"))
+    out = sums.select("id", F.col("n").alias("n_tokens"), mean("target").alias("target_loss"), mean("background").alias("background_loss"))
+    out = out.withColumn("score", F.col("background_loss") - F.col("target_loss"))
+    return out.withColumn("kept", F.coalesce(F.col("score") > threshold, F.lit(False)))

@@ -73,16 +73,14 @@ WITH words AS (
     ),
     good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING bool_and(coalesce(quality = 1 AND toxic = 0, false))),
     flagged AS (SELECT words.*, good.doc_id IS NOT NULL AS t FROM words LEFT JOIN good USING (doc_id)),
-    totals AS (SELECT count(*) AS nb, count_if(t) AS nt, count(DISTINCT w) AS v, count(DISTINCT doc_id) AS db, count(DISTINCT CASE WHEN t THEN doc_id END) AS dt,
-        CASE WHEN count_if(t) > 0 THEN count_if(t)::DOUBLE / count(*) ELSE 1 END AS scale FROM flagged),
-    unigrams AS (SELECT w, count(*) * any_value(scale) AS b, count_if(t)::DOUBLE AS t FROM flagged, totals GROUP BY w),
-    chance AS (SELECT w, (t + 0.5::DOUBLE) / (nt + 0.5::DOUBLE * v) AS pt, (b + 0.5::DOUBLE) / (nb * scale + 0.5::DOUBLE * v) AS pb FROM unigrams, totals),
-    context AS (SELECT w AS u, b AS cb, t AS ct FROM unigrams UNION ALL SELECT ' ', db * scale, dt FROM totals),
+    totals AS (SELECT coalesce(sum(strlen(text)) FILTER (good.doc_id IS NOT NULL), 0)::DOUBLE AS part, sum(strlen(text))::DOUBLE AS whole FROM documents LEFT JOIN good USING (doc_id)),
+    sizes AS (SELECT CASE WHEN part > 0 THEN part / whole ELSE 1 END AS scale FROM totals),
     chains AS (SELECT doc_id, t, w, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), ' ') AS u FROM flagged),
-    bigrams AS (SELECT u, w, count(*) * any_value(scale) AS b, count_if(t)::DOUBLE AS t FROM chains, totals GROUP BY u, w),
+    contexts AS (SELECT u, count(*) * any_value(scale) AS b, count_if(t)::DOUBLE AS t FROM chains, sizes GROUP BY u),
+    bigrams AS (SELECT u, w, count(*) * any_value(scale) AS b, count_if(t)::DOUBLE AS t FROM chains, sizes GROUP BY u, w),
     losses AS (
-        SELECT doc_id, -ln((g.t + 50 * pt) / (ct + 50)) AS lt, -ln((g.b + 50 * pb) / (cb + 50)) AS lb
-        FROM chains c JOIN chance p ON p.w = c.w JOIN bigrams g ON g.u = c.u AND g.w = c.w JOIN context x ON x.u = c.u
+        SELECT doc_id, ln(0.75::DOUBLE * x.t + 0.25::DOUBLE * x.b + 5) - ln(0.75::DOUBLE * g.t + 0.25::DOUBLE * g.b) AS lt, ln(x.b + 5) - ln(g.b) AS lb
+        FROM chains c JOIN bigrams g ON g.u = c.u AND g.w = c.w JOIN contexts x ON x.u = c.u
     ),
     means AS (SELECT doc_id, count(*) AS n, avg(lt) AS lt, avg(lb) AS lb FROM losses GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_tokens, round(lt, 6) AS target_loss, round(lb, 6) AS background_loss,

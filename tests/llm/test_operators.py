@@ -154,37 +154,27 @@ def test_shards_of_an_empty_table(empty):
 
 
 # --------------------------------------------------------------- 3: language model
-def brute_scores(rows, target, add=0.5, strength=50.0):
+def brute_scores(rows, target, mix=0.25, strength=5.0):
     """Losses by exact words and bigrams in memory; ``target`` are the ids of the target."""
     texts = [WORD.findall(t or "") for _, t in rows]
-    goal = [x for (i, _), x in zip(rows, texts, strict=True) if i is not None and i in target]
-    nb, nt = sum(map(len, texts)), sum(map(len, goal))
-    scale = nt / nb if nt and nb else 1.0
-    pairs = lambda xs: Counter(p for x in xs for p in zip(["<s>", *x], x))  # noqa: E731, B905
-    known = len({w for x in texts for w in x})
-    sides = {}
-    for k, xs, n, by in (("t", goal, nt, 1.0), ("b", texts, nb, scale)):
-        one = Counter(w for x in xs for w in x)
-        one["<s>"] = sum(1 for x in xs if x)
-        sides[k] = one, pairs(xs), n, by
-
-    def loss(k, u, w):
-        one, two, n, by = sides[k]
-        p = (one[w] * by + add) / (n * by + add * known)
-        return -math.log((two[u, w] * by + strength * p) / (one[u] * by + strength))
-
-    out = []
-    for (i, _), x in zip(rows, texts, strict=True):
-        steps = list(zip(["<s>", *x], x))  # noqa: B905
-        out.append((i, len(x), *((sum(loss(k, *s) for s in steps) / len(x)) if x else None for k in "tb")))
-    return out
+    chosen = [i is not None and i in target for i, _ in rows]
+    size = [len((t or "").encode()) for _, t in rows]
+    part = sum(n for n, c in zip(size, chosen, strict=True) if c)
+    scale = part / sum(size) if part else 1.0
+    steps = [list(zip(["<s>", *x], x)) for x in texts]  # noqa: B905
+    counts = lambda pick: Counter(k for x, c in zip(steps, chosen, strict=True) if pick(c) for u, w in x for k in (u, (u, w)))
+    every, of_target = counts(lambda c: True), counts(bool)
+    b = {k: n * scale for k, n in every.items()}
+    u = {k: (1 - mix) * of_target[k] + mix * n for k, n in b.items()}
+    loss = lambda c, v, w: math.log(c[v] + strength) - math.log(c[v, w])
+    return [(i, len(x), *((sum(loss(c, *s) for s in x) / len(x)) if x else None for c in (u, b))) for (i, _), x in zip(rows, steps, strict=True)]
 
 
 def odd_rows():
     return [*enumerate(ODD), (4, "a"), (5, "another text"), (None, "no id"), (None, None)]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"BLOCK_BYTES": 1 << 13, "PIECE": 64, "HELD": 100, "BUCKET_BYTES": 1 << 14}])
+@pytest.mark.parametrize("sizes", [{}, {"MARKED": 3, "PIECE": 64, "HELD": 100, "BUCKET_BYTES": 1 << 14, "DOCS": 8}])
 def test_scores_match_brute_force(spark, odd, monkeypatch, sizes):
     for name, value in sizes.items():
         monkeypatch.setattr(lm_score, name, value)
