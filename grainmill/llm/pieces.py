@@ -19,12 +19,14 @@ stay; ids do not depend on it). Decoding joins pieces and byte pieces and turns
 
 Defined cases: null and empty texts have no ids and decode to an empty text; U+2581 in a
 text decodes to a space, as in the library; characters without a piece become byte pieces,
-so any other text returns exactly; null ids and repeated rows are rows of their own; an
+so any other text returns exactly; a very long text costs its length, runs of blanks n log n,
+and its ids are held at once; null ids and repeated rows are rows of their own; an
 empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -83,18 +85,32 @@ class Pieces:
         return {k: tuple(sorted(v | pairs.get(k[-2:], set()) | {1}, reverse=True)) for k, v in ends.items()}
 
     def merge(self, word: str) -> tuple[list[str], tuple[str, str] | None]:
-        """Plain BPE: merge the best pair, leftmost first, until none is left; and the last merge."""
-        parts, last = list(word), None
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = self.rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return parts, last
-            last = (parts[at], parts[at + 1])
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        """Plain BPE: merge the best pair, leftmost first, until none is left; and the last merge.
+
+        Pairs wait in a heap by rank and place, so a long word costs n log n.
+        """
+        n = len(word)
+        size = [1] * n  # of the part that starts here; 0 inside of a part
+        before = list(range(-1, n - 1))
+        heap = [(r, i, 1, 1) for i in range(n - 1) if (r := self.rank.get(word[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        last = None
+        while heap:
+            _, i, left, right = heapq.heappop(heap)
+            j = i + left
+            if size[i] != left or j >= n or size[j] != right:
+                continue
+            last = (word[i:j], word[j : j + right])
+            size[i], size[j] = left + right, 0
+            end = j + right
+            if end < n:
+                before[end] = i
+            for a, b in ((before[i], i), (i, end)):
+                if a >= 0 and b < n:
+                    r = self.rank.get(word[a : b + size[b]])
+                    if r is not None:
+                        heapq.heappush(heap, (r, a, size[a], size[b]))
+        return [word[i : i + k] for i, k in enumerate(size) if k], last
 
     def fits(self, a: str, b: str) -> bool:
         """Whether BPE of a + b is [a, b]: no merge of either side's history reaches across."""

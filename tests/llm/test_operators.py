@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -243,6 +244,20 @@ def test_pieces_of_driver_texts(spark, small):
     assert {r["id"]: r["ids"] for r in pieces.encode_documents(docs, path).collect()} == want
 
 
+def test_long_runs_cost_little_more_than_their_length():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, model = sentencepiece.SentencePieceProcessor(model_file=path), pieces.load_pieces(path)
+    draw = random.Random(2)
+    texts = [" " * n for n in (1, 2, 3, 15, 16, 17, 31, 33, 100)] + ["".join(draw.choice("   ab\n") for _ in range(80)) for _ in range(300)] + ["ab" + " " * n + "c" for n in range(40)]
+    assert [np.frombuffer(b, "<i4").tolist() for b in model.encode(texts)] == [sp.encode(t) for t in texts]
+    for text in (" " * 1_000_000, "x" * 300_000, "a " * 500_000, "\n" * 1_000_000):
+        began = time.process_time()
+        model.encode([text])
+        assert time.process_time() - began < 20
+
+
 def test_a_unigram_vocabulary_takes_the_best_score():
     known = {"▁": (1, -3.0), "a": (2, -2.0), "b": (3, -2.0), "ab": (4, -3.0), "▁a": (5, -2.5), "bab": (6, -9.0)}
     model = pieces.Pieces(known, [], 0, "unigram", True)
