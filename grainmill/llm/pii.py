@@ -2,25 +2,28 @@
 
 Base spans come from one regular expression and one validity test per kind. Beside them,
 wider expressions propose candidates (obfuscated addresses, phone numbers without a plus,
-grouped digits that fail the checksum, IPv6 and out-of-range addresses). Labelers vote -1, 0 or 1
-on every base span and candidate:
+grouped digits that fail the checksum, IPv6 and out-of-range addresses, and, as a kind of
+their own without base spans, long runs of letters and digits that may be secrets). Labelers
+vote -1, 0 or 1 on every base span and candidate:
 
 - shape: a strict regular expression for the kind;
-- check: checksum, digit count or range;
-- gazetteer: known top-level domains, card prefixes, calling codes, reserved networks;
-- cue: words such as "call", "e-mail" or "version" just before the span;
+- check: checksum, digit count, range or number of different characters;
+- gazetteer: known top-level domains, card prefixes, calling codes, reserved networks, names of keys;
+- cue: words such as "call", "e-mail" or "version", or an assignment, just before the span;
 - border: what touches the span on either side.
 
 Votes are counted by pattern over all documents; expectation-maximisation (two classes,
 labelers independent given the class, abstentions carry no weight) estimates each
-labeler's reliability and the class share of each kind from these at most 4 * 3^5 counts.
+labeler's reliability and the class share of each kind from these at most 5 * 3^5 counts.
 The posteriors then weigh a final classifier over span features (kind, length, digits,
 separators, letters before and after, vote sum): smoothed log odds per feature value,
 summed by a column expression. Candidates it accepts are added; base spans always stay.
 
-Positions follow from the pieces between matches, so a match costs its own length.
-Expressions are written without nested greedy repeats and start only at run borders, so
-long runs cost linear time.
+Positions follow from the pieces between matches, and a span takes its context from the piece
+and the match next to it, so a match costs its own length. Folds run over chunks of `CHUNK`
+matches, so that their cost grows with the number of matches up to tens of thousands in a text
+and by its square, divided by the size of a chunk, beyond. Expressions are written without nested greedy repeats and start only at run borders,
+so long runs cost linear time.
 
 Defined cases: null text counts as empty and has no spans; repeated rows and ids are rows
 of their own and nothing is joined on ids; an empty table gives an empty result, and without
@@ -32,6 +35,7 @@ kept by `redact` and may have any names.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -39,7 +43,9 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.common import materialize
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+#: Kinds with base spans come first.
+BASES = KINDS[:4]
 VOTERS = ("shape", "check", "gazetteer", "cue", "border")
 _E = "[A-Za-z0-9._%+-]"
 BASE = {
@@ -55,13 +61,15 @@ WIDE = {
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9A-Za-z-])[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",
+    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{20,}+(?![.@][A-Za-z0-9])",
 }
-WIDE_NEEDS = {"email": r"[\[(]\x20?(?:at|AT)\x20?[\])]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:", "card": r"[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}", "phone": r"[0-9]{3}[.-][0-9]{4}"}
+WIDE_NEEDS = {"email": r"[\[(]\x20?(?:at|AT)\x20?[\])]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:", "card": r"[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}", "phone": r"[0-9]{3}[.-][0-9]{4}", "secret": "[A-Za-z0-9_-]{20}"}
 TLDS = "com|org|net|edu|gov|io|info|biz|co|uk|de|fr|es|eu|us|ca|it|nl|ch|at"
 GOOD_CUES = r"(?i)(?:e-?mails?|mail|contact|reach|phone|tel|telephone|call|mobile|cell|fax|card|visa|mastercard|amex|credit|ip|host|address|server|login)\W{0,4}\z"
 BAD_CUES = r"(?i)(?:version|ver|release|isbn|issn|order|invoice|serial|part|section|chapter|figure|fig|table|sku|v)\W{0,4}\z"
-#: Characters kept before a span for cue labelers.
-WINDOW = 24
+KEY_NAMES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|credential|bearer|auth|api[_-]?key|access[_-]?key|private[_-]?key)"
+#: Characters kept before a span for cue labelers, matches of a fold, and characters of a piece of text.
+WINDOW, CHUNK, PIECE = 24, 1024, 512
 
 
 def _luhn(digits: F.Column) -> F.Column:
@@ -82,41 +90,71 @@ def _passes(kind: str, match: F.Column) -> F.Column:
     return F.lit(True)
 
 
-_SPAN = "array<struct<kind:int,start:int,end:int>>"
+_SPAN = "array<struct<kind:int,start:int,end:int,hit:string,before:string,after:string>>"
 _NONE = f"cast(array() as {_SPAN})"
 
 
+def _let(value: F.Column, use: Callable[[F.Column], F.Column]) -> F.Column:
+    """``use(value)`` with the value computed once, however often it is used inside of lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _chunks(items: F.Column, size: int = CHUNK) -> F.Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")), lambda k: F.slice(items, k * size + 1, F.lit(size)))
+
+
+def _fold(items: F.Column, start: F.Column, empty: str, step: Callable, value: str) -> F.Column:
+    """All items that ``step`` appends to the field ``value`` beside the field ``at``, folded chunk by chunk."""
+
+    def chunk(s: F.Column, some: F.Column) -> F.Column:
+        done = F.aggregate(some, F.struct(s["at"].alias("at"), F.expr(f"cast(array() as {empty})").alias(value)), step)
+        return _let(done, lambda d: F.struct(d["at"].alias("at"), F.array_append(s["all"], d[value]).alias("all")))
+
+    none = F.struct(start.alias("at"), F.expr(f"cast(array() as array<{empty}>)").alias("all"))
+    whole = _let(items, lambda x: F.aggregate(_chunks(x), none, chunk, lambda s: F.flatten(s["all"])))
+    return whole
+
+
 def _spans(text: F.Column, kind: str, pattern: str, needs: str, check: bool) -> F.Column:
-    """Spans of the matches of one expression that pass, in order."""
-    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """Spans of the matches of one expression that pass, in order, with what stands around them."""
     code = KINDS.index(kind)
-    start = F.struct(F.lit(0).alias("at"), F.expr(_NONE).alias("spans"))
 
     def step(s: F.Column, x: F.Column) -> F.Column:
         begin = s["at"] + F.length(x["gap"])
         end = begin + F.length(x["hit"])
-        span = F.struct(F.lit(code).alias("kind"), begin.alias("start"), end.alias("end"))
+        around = F.right(F.concat(F.coalesce(x["last"], F.lit("")), x["gap"]), F.lit(WINDOW)), F.left(F.concat(x["tail"], F.coalesce(x["next"], F.lit(""))), F.lit(1))
+        span = F.struct(F.lit(code).alias("kind"), begin.alias("start"), end.alias("end"), x["hit"].alias("hit"), around[0].alias("before"), around[1].alias("after"))
         keep = _passes(kind, x["hit"]) if check else F.lit(True)
         return F.struct(end.alias("at"), F.when(keep, F.array_append(s["spans"], span)).otherwise(s["spans"]).alias("spans"))
 
-    zipped = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.when(text.rlike(needs), F.aggregate(zipped, start, step, lambda s: s["spans"])).otherwise(F.expr(_NONE))
+    def cut(both: F.Column) -> F.Column:
+        gaps, hits = both["gaps"], both["hits"]
+        n = F.size(hits)
+        named = F.arrays_zip(F.slice(gaps, F.lit(1), n).alias("gap"), hits.alias("hit"), F.slice(gaps, F.lit(2), n).alias("tail"), F.slice(F.concat(F.array(F.lit("")), hits), F.lit(1), n).alias("last"), F.slice(F.concat(hits, F.array(F.lit(""))), F.lit(2), n).alias("next"))
+        return F.when(n > 0, _fold(named, F.lit(0), _SPAN, step, "spans")).otherwise(F.expr(_NONE))
+
+    both = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
+    return F.when(text.rlike(needs), _let(both, cut)).otherwise(F.expr(_NONE))
 
 
 def _sorted(spans: F.Column) -> F.Column:
-    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    keyed = F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "kind", "end", "hit", "before", "after")]))
     return F.array_sort(keyed)
 
 
 def base_spans(text: F.Column) -> F.Column:
-    """array<struct<start, kind, end>> of the base spans, by start, then kind."""
-    return _sorted(F.concat(*[_spans(text, k, BASE[k], NEEDS[k], True) for k in KINDS]))
+    """array<struct<start, kind, end, hit, before, after>> of the base spans, by start, then kind."""
+    return _sorted(F.concat(*[_spans(text, k, BASE[k], NEEDS[k], True) for k in BASES]))
 
 
 def wide_spans(text: F.Column, base: F.Column) -> F.Column:
     """Candidates that overlap no base span (nor, in order of kinds, each other's start)."""
     wide = _sorted(F.concat(*[_spans(text, k, WIDE[k], WIDE_NEEDS[k], False) for k in KINDS]))
-    return F.filter(wide, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    meets = lambda b, w: (b["start"] < w["end"]) & (w["start"] < b["end"])
+    # Base spans by chunks, so that a candidate is held against few of them.
+    chunks = F.transform(_chunks(base), lambda c: F.struct(c[0]["start"].alias("start"), F.array_max(F.transform(c, lambda b: b["end"])).alias("end"), c.alias("spans")))
+    apart = lambda w: _let(chunks, lambda held: F.filter(w, lambda x: ~F.exists(held, lambda c: meets(c, x) & F.exists(c["spans"], lambda b: meets(b, x)))))
+    return F.when(F.size(base) == 0, wide).otherwise(_let(wide, lambda w: F.when(F.size(w) == 0, w).otherwise(apart(w))))
 
 
 def join_spans(spans: F.Column) -> F.Column:
@@ -124,14 +162,12 @@ def join_spans(spans: F.Column) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _facts(text: F.Column, span: F.Column, is_base: bool) -> F.Column:
+def _facts(span: F.Column, is_base: bool) -> F.Column:
     """Votes and features of one span."""
-    hit = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-    before = F.substring(text, F.greatest(span["start"] + 1 - WINDOW, F.lit(1)), F.least(span["start"], F.lit(WINDOW)))
-    after = F.substring(text, span["end"] + 1, F.lit(1))
+    hit, before, after = span["hit"], span["before"], span["after"]
     digits = F.regexp_replace(hit, "[^0-9]", "")
     kind = span["kind"]
-    by_kind = lambda e, i, c, p: F.when(kind == 0, e).when(kind == 1, i).when(kind == 2, c).otherwise(p)
+    by_kind = lambda e, i, c, p, k: F.when(kind == 0, e).when(kind == 1, i).when(kind == 2, c).when(kind == 3, p).otherwise(k)
     vote = lambda yes, no=None: F.when(yes, 1).when(no if no is not None else ~yes, -1).otherwise(0)
     n = F.length(digits)
     shape = by_kind(
@@ -139,15 +175,18 @@ def _facts(text: F.Column, span: F.Column, is_base: bool) -> F.Column:
         vote(hit.rlike(r"\A(?:[0-9]{1,3}\.){3}[0-9]{1,3}\z") | hit.contains(":")),
         vote(hit.rlike(r"\A[0-9]{14,16}\z|\A[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}\z")),
         vote(hit.rlike(r"\A\+?[0-9]{0,3}[ .-]?\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-]?[0-9]{3,4}\z")),
+        vote(hit.rlike(r"\A(?:[0-9a-f]{24,}|[0-9A-F]{24,})\z") | (hit.rlike("[a-z]") & hit.rlike("[A-Z]") & ~hit.contains("_"))),
     )
-    check = by_kind(F.lit(0), vote(hit.contains(":") | _passes("ip", hit)), vote(n.between(14, 19) & _luhn(digits)), vote(n.between(10, 15)))
+    check = by_kind(F.lit(0), vote(hit.contains(":") | _passes("ip", hit)), vote(n.between(14, 19) & _luhn(digits)), vote(n.between(10, 15)), vote(F.size(F.array_distinct(F.split(F.lower(hit), ""))) > 9))
     gazetteer = by_kind(
         vote(hit.rlike(rf"(?i)(?:\.|[\[( ]dot[\]) ]+)(?:{TLDS})\z")),
         vote(~hit.rlike(r"\A(?:0|127|22[4-9]|2[3-5][0-9])\.")),
         vote(digits.rlike(r"\A(?:4|5[1-5]|2[2-7]|3[47]|6011|65)")),
         vote(hit.rlike(r"\A\+(?:1|33|34|49|44|39|31|41|43)(?:[^0-9]|[0-9])"), hit.rlike(r"\A\+0")),
+        vote(before.rlike(KEY_NAMES), F.lit(False)),
     )
-    cue = F.when(before.rlike(BAD_CUES), -1).when(before.rlike(GOOD_CUES), 1).otherwise(0)
+    said = F.when(before.rlike(BAD_CUES), -1).when(before.rlike(GOOD_CUES), 1).otherwise(0)
+    cue = F.when(kind == 4, vote(before.rlike(r"[=:]\s{0,2}[\"']?\z"))).otherwise(said)
     open_left, open_right = (F.length(before) == 0) | before.rlike(r"[\s(\[\"',;:<]\z"), (F.length(after) == 0) | after.rlike(r"[\s)\]\"',;:.!?>]")
     border = F.when(open_left & open_right, 1).otherwise(-1)
     return F.struct(
@@ -168,9 +207,9 @@ def scan(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """``keep`` columns, ``base`` spans and ``seen``: the facts of base spans and candidates."""
     staged = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     staged = staged.withColumn("_base", base_spans(F.col("_text"))).withColumn("_wide", wide_spans(F.col("_text"), F.col("_base")))
-    text = F.col("_text")
-    seen = F.concat(F.transform("_base", lambda s: _facts(text, s, True)), F.transform("_wide", lambda s: _facts(text, s, False)))
-    return staged.withColumn("_seen", F.when(F.size("_base") + F.size("_wide") > 0, seen))
+    seen = F.concat(F.transform("_base", lambda s: _facts(s, True)), F.transform("_wide", lambda s: _facts(s, False)))
+    slim = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return staged.withColumn("_seen", F.when(F.size("_base") + F.size("_wide") > 0, seen)).withColumn("_base", slim)
 
 
 @dataclass
@@ -217,7 +256,7 @@ def posterior(kind: int, votes: tuple[int, ...], share: dict[int, float], rel: d
 
 def fit(seen: DataFrame) -> Model:
     """Estimate the model from a table of span facts (one row per span)."""
-    counted = seen.groupBy("kind", *VOTERS).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 4 * 3^5 rows
+    counted = seen.groupBy("kind", *VOTERS).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 5 * 3^5 rows
     patterns = [(r["kind"], tuple(r[v] for v in VOTERS), r["n"]) for r in counted]
     share, rel = reliabilities(patterns)
     if not patterns:
@@ -228,7 +267,7 @@ def fit(seen: DataFrame) -> Model:
         logit = logit + F.when(F.col(v) > 0, math.log(sens / (1 - spec))).when(F.col(v) < 0, math.log((1 - sens) / spec)).otherwise(0.0)
     soft = seen.withColumn("p", 1 / (1 + F.exp(-logit)))
     pairs = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in FEATURES])
-    # At most 4 kinds * 6 features * 21 values.
+    # At most 5 kinds * 6 features * 21 values.
     rows = soft.select("kind", "p", F.explode(pairs).alias("x")).groupBy("kind", "x.f", "x.v").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
     sums = {k: [0.0, 0.0] for k in range(len(KINDS))}
     for r in rows:
@@ -286,13 +325,20 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     text = F.col("_text")
 
     def step(s: F.Column, x: F.Column) -> F.Column:
-        fresh = x["start"] >= s["at"]
-        piece = F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.element_at(marks, x["kind"] + 1))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(fresh, F.array_append(s["parts"], piece)).otherwise(s["parts"]).alias("parts"))
+        hole = F.struct(s["at"].alias("start"), x["start"].alias("end"), x["kind"].alias("kind"))
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], F.array_append(s["kept"], hole)).otherwise(s["kept"]).alias("kept"))
+
+    kept = _fold(F.col("_spans"), F.lit(0), "array<struct<start:int,end:int,kind:int>>", step, "kept")
+    # What stays before each mark is joined from pieces of the text, so it costs its own length.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(held: F.Column, start: F.Column, end: F.Column) -> F.Column:
+        first, last = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+        return F.substring(F.array_join(F.slice(held, first + 1, last - first + 1), ""), start % PIECE + 1, end - start)
 
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
-    done = F.aggregate("_spans", start, step, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    new = F.when(F.size("_spans") > 0, done).otherwise(F.col(f"_row.`{text_col}`"))
+    ends = F.array_max(F.transform("_spans", lambda x: x["end"]))
+    shown = _let(pieces, lambda held: F.concat(F.array_join(F.transform(kept, lambda h: F.concat(between(held, h["start"], h["end"]), F.element_at(marks, h["kind"] + 1))), ""), between(held, ends, F.length(text))))
+    new = F.when(F.size("_spans") > 0, shown).otherwise(F.col(f"_row.`{text_col}`"))
     scanned = scanned.withColumn("_new", new)
     out = []
     for c in columns:

@@ -50,7 +50,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _pii.detect(load(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{_pii.KINDS[k]}")
     return found.select(
-        F.col("id").alias("doc_id"), *map(count, range(4)), F.sha2(_pii.join_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"), _pii.join_spans(F.col("spans")).alias("spans")
+        F.col("id").alias("doc_id"), *map(count, range(4)), F.sha2(_pii.join_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"), _pii.join_spans(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["kind"] == 4)).cast("long").alias("n_secret"),
     )
 
 

@@ -544,6 +544,33 @@ def test_redaction_masks_spans_and_keeps_columns(spark, odd, empty):
     assert pii.redact(empty).count() == 0 and pii.detect(empty).count() == 0 and pii.redact(odd).count() == odd.count()
 
 
+def test_candidates_are_accepted_and_refused(spark):
+    draw = random.Random(11)
+    hexes = lambda n: "".join(draw.choice("0123456789abcdef") for _ in range(n))
+    secrets = [f'filler token = "{hexes(40)}" more' for _ in range(60)] + [f"API_KEY: {hexes(32)}" for _ in range(20)]
+    names = [f"see part_{draw.randrange(9)}_of_the_{draw.choice(['long', 'short'])}_section_list" for _ in range(60)] + [f"row aaaaaaaaaa{k}bbbbbbbbbbbbb0 here" for k in range(20)]
+    mails = [f"mail me (at) home{k}.com" for k in range(20)] + [f"write to a.b{k}@home{k}.com now" for k in range(60)]
+    texts = [*secrets, *names, *mails]
+    found = {r["id"]: [(s["kind"], texts[r["id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in pii.detect(table(spark, list(enumerate(texts)))).collect()}
+    assert sum(any(k == 4 for k, _ in found[i]) for i in range(80)) >= 78
+    assert all(len(x.strip('"')) in (32, 40) for i in range(80) for k, x in found[i] if k == 4)
+    assert not any(found[i] for i in range(80, 160))
+    assert all(any(k == 0 for k, _ in found[i]) for i in range(180, 240))
+
+
+def test_many_spans_cost_little_more_than_their_length(spark):
+    many = {"mails": "a.b@c.de " * 16_000, "numbers": "10.0.0.1 +1 (415) 555-0100 " * 8_000, "tokens": "token = 0123456789abcdef0123456789 a@b.co " * 8_000}
+    for k, (name, text) in enumerate(many.items()):
+        began = time.monotonic()
+        df = table(spark, [(k, text)])
+        n = {"mails": 16_000, "numbers": 16_000, "tokens": 16_000}[name]
+        row = pii.detect(df).collect()[0]
+        assert len(row["base"]) == (8_000 if name == "tokens" else n) and len(row["spans"]) >= len(row["base"])
+        out = pii.redact(df).collect()[0]["text"]
+        assert "@" not in out and "10.0.0.1" not in out and out.count("<") == len(row["spans"])
+        assert time.monotonic() - began < 120, name
+
+
 def test_reliabilities_tell_good_from_bad_labelers():
     rng = random.Random(2)
     counted = Counter()
