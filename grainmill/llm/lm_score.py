@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from grainmill.llm.common import materialize, worker_cache
 
 #: Rows that are marked together, text hashed at a time, tokens of a unit, and text for each bucket.
-MARKED, PIECE, HELD, BUCKET_BYTES = 1 << 13, 1 << 20, 3_000_000, 1 << 24
+MARKED, PIECE, HELD, BUCKET_BYTES = 1 << 13, 1 << 20, 2_500_000, 1 << 23
 #: Documents of a unit; the bit above their numbers marks the target.
 DOCS = 1 << 15
 #: The context before the first word. Contexts have even keys, bigrams odd ones.
@@ -64,6 +64,7 @@ _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64)
 _UNITS = "bucket long, unit long, keys binary, n binary, docs binary, ids array<long>"
+_UNIT_NAMES = [x.split()[0] for x in _UNITS.split(", ")]
 _SUMS = "unit long, doc int, id long, n long, target double, background double"
 
 
@@ -215,23 +216,26 @@ def units(rows: DataFrame, buckets: int) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             nonlocal made, size
             unit = (part << 32) + made
-            every = np.concatenate([np.zeros(0, np.uint64), *keys])
+            # What is no longer needed is let go at once: these are the largest arrays of the task.
+            every, where = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.uint16), *docs])
+            keys.clear()
+            docs.clear()
             order = np.argsort(every, kind="stable")
-            every = every[order]
-            where = np.concatenate([np.zeros(0, np.uint16), *docs])[order]
+            every, where = every[order], where[order]
+            del order
             at = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-            distinct, n = every[at], np.diff(at, append=len(every)).astype(np.uint32)
+            bounds, distinct, n = np.append(at, len(every)), every[at], np.diff(at, append=len(every)).astype(np.uint32)
+            del every, at
             bucket = ((distinct >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            cuts = np.flatnonzero(np.diff(bucket, prepend=buckets, append=buckets)) if len(distinct) else np.zeros(1, np.int64)
-            bounds = np.append(at, len(every))
-            some = [(distinct[i:j].tobytes(), n[i:j].tobytes(), where[bounds[i] : bounds[j]].tobytes()) for i, j in zip(cuts.tolist(), cuts[1:].tolist())]  # noqa: B905
-            named = [*bucket[cuts[:-1]].tolist(), -1 - unit % buckets]
-            columns = [pa.array([*c, None], pa.binary()) for c in zip(*some)] if some else [pa.array([None], pa.binary())] * 3  # noqa: B905
-            yield pa.record_batch([pa.array(named, pa.int64()), pa.array([unit] * len(named), pa.int64()), *columns, pa.array([None] * len(some) + [ids], pa.list_(pa.int64()))], names=["bucket", "unit", "keys", "n", "docs", "ids"])
+            cuts = np.flatnonzero(np.diff(bucket, prepend=buckets, append=buckets)).tolist() if len(distinct) else [0]
+            named = bucket[cuts[:-1]].tolist()
+            for k in range(0, len(named), 16):
+                some = list(zip(cuts[k : k + 16], cuts[k + 1 : k + 17]))  # noqa: B905
+                blobs = [[distinct[i:j].tobytes() for i, j in some], [n[i:j].tobytes() for i, j in some], [where[bounds[i] : bounds[j]].tobytes() for i, j in some]]
+                yield pa.record_batch([pa.array(named[k : k + 16], pa.int64()), pa.array([unit] * len(some), pa.int64()), *(pa.array(x, pa.binary()) for x in blobs), pa.array([None] * len(some), pa.list_(pa.int64()))], names=_UNIT_NAMES)
+            yield pa.record_batch([pa.array([-1 - unit % buckets], pa.int64()), pa.array([unit], pa.int64()), *[pa.array([None], pa.binary())] * 3, pa.array([ids], pa.list_(pa.int64()))], names=_UNIT_NAMES)
             made, size = made + 1, 0
             ids.clear()
-            keys.clear()
-            docs.clear()
 
         for whole in batches:
             for batch in _slices(whole, 2):
