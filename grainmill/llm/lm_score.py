@@ -23,7 +23,7 @@ term of the bigram, so it is summed where the counts are:
 2. Units, cut into ranges of keys (*buckets*), meet in one shuffle. A bucket adds up the
    counts of its keys and then the terms of each document. A frequent key is one entry of a
    unit, so it is no hot key.
-3. The sums of a document are added over buckets.
+3. The sums of a document are added over the buckets of a task, and over tasks by unit.
 
 The target is marked by file and row (`marked`), and texts are never shuffled where Spark
 finds the marks (four bytes for each target row) small enough to broadcast.
@@ -65,7 +65,10 @@ _SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64)
 _UNITS = "bucket long, unit long, keys binary, n binary, docs binary, ids array<long>"
 _UNIT_NAMES = [x.split()[0] for x in _UNITS.split(", ")]
-_SUMS = "unit long, doc int, id long, n long, target double, background double"
+_SUMS = "unit long, docs binary, n binary, target binary, background binary, ids array<long>"
+#: Sums of documents that a task holds before it hands them on.
+HELD_SUMS = 2_000_000
+_SUM_NAMES = [x.split()[0] for x in _SUMS.split(", ")]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,15 +259,9 @@ def units(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.select("id", "target", "text").mapInArrow(run, _UNITS)
 
 
-def _summed(table: pa.Table, scale: float, mix: float, strength: float) -> pa.Table:
-    """The terms of a bucket's keys, summed by document; or the documents of units."""
-    names = [x.split()[0] for x in _SUMS.split(", ")]
-    if table.column("bucket")[0].as_py() < 0:
-        numbers = [(u, k, i) for u, ids in zip(table.column("unit").to_pylist(), table.column("ids").to_pylist(), strict=True) for k, i in enumerate(ids)]
-        zero = np.zeros(len(numbers))
-        return pa.table([*(pa.array([x[k] for x in numbers], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64()))), pa.array(zero.astype(np.int64)), pa.array(zero), pa.array(zero)], names=names)
-    blobs = [table.column(c).to_pylist() for c in ("keys", "n", "docs")]
-    keys, n, docs = (np.frombuffer(b"".join(x), d) for x, d in zip(blobs, ("<u8", "<u4", "<u2"), strict=True))
+def _terms(rows: list[dict], scale: float, mix: float, strength: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each unit of a bucket: tokens, target and background terms by document."""
+    keys, n, docs = (np.frombuffer(b"".join(r[c] for r in rows), d) for c, d in (("keys", "<u8"), ("n", "<u4"), ("docs", "<u2")))
     order = np.argsort(keys, kind="stable")
     fresh = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
     place = np.empty(len(keys), np.int64)
@@ -273,14 +270,68 @@ def _summed(table: pa.Table, scale: float, mix: float, strength: float) -> pa.Ta
     b = np.bincount(occurs).astype(np.float64) * scale
     u = mix * b + (1 - mix) * np.bincount(occurs, weights=docs >= DOCS)
     context = keys[order][fresh] & _ONE == 0
-    terms = [np.where(context, np.log(x + strength), -np.log(x)) for x in (u, b)]
-    sizes = [len(x) // 2 for x in blobs[2]]
-    whose = np.repeat(np.arange(len(sizes)), sizes) * DOCS + (docs & np.uint16(DOCS - 1))
-    hit = np.flatnonzero(np.bincount(whose, minlength=0))
-    sums = [np.bincount(whose, weights=x[occurs])[hit] for x in terms]
-    tokens = np.bincount(whose, weights=context[occurs])[hit].astype(np.int64)
-    unit = np.array(table.column("unit").to_pylist(), np.int64)[hit // DOCS]
-    return pa.table([pa.array(unit), pa.array((hit % DOCS).astype(np.int32)), pa.array([None] * len(hit), pa.int64()), pa.array(tokens), *(pa.array(x) for x in sums)], names=names)
+    values = [context.astype(np.float64), *(np.where(context, np.log(x + strength), -np.log(x)) for x in (u, b))]
+    at = 0
+    for r in rows:
+        to = at + len(r["docs"]) // 2
+        whose = docs[at:to] & np.uint16(DOCS - 1)
+        yield r["unit"], np.stack([np.bincount(whose, weights=x[occurs[at:to]], minlength=1) for x in values])
+        at = to
+
+
+def sums(held: DataFrame, scale: float, mix: float, strength: float) -> DataFrame:
+    """(unit, docs, n, target, background): terms by document over all buckets of a task; and the ids of units."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        rows: list[dict] = []
+
+        def close() -> None:
+            for unit, some in _terms(rows, scale, mix, strength) if rows else ():
+                have = totals.get(unit)
+                if have is None or have.shape[1] < some.shape[1]:
+                    have, old = np.zeros((3, some.shape[1])), have
+                    if old is not None:
+                        have[:, : old.shape[1]] = old
+                    totals[unit] = have
+                have[:, : some.shape[1]] += some
+            rows.clear()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for unit, x in totals.items():
+                hit = np.flatnonzero(x.any(axis=0))
+                blobs = (hit.astype("<u2"), *(y[hit] for y in x))
+                yield pa.record_batch([pa.array([unit]), *(pa.array([y.tobytes()], pa.binary()) for y in blobs), pa.array([None], pa.list_(pa.int64()))], names=_SUM_NAMES)
+            totals.clear()
+
+        bucket = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                if row.column(0)[0].as_py() < 0:
+                    yield pa.record_batch([row.column(1), *[pa.array([b""], pa.binary())] * 4, row.column(5)], names=_SUM_NAMES)
+                    continue
+                if row.column(0)[0].as_py() != bucket:
+                    close()
+                    bucket = row.column(0)[0].as_py()
+                    if sum(x.shape[1] for x in totals.values()) > HELD_SUMS:
+                        yield from out()
+                rows.append({c: row.column(k)[0].as_py() for k, c in enumerate(_UNIT_NAMES)})
+        close()
+        yield from out()
+
+    return held.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _SUMS)
+
+
+def _documents(table: pa.Table) -> pa.Table:
+    """A unit's documents with their sums."""
+    rows = table.to_pylist()
+    ids = next(r["ids"] for r in rows if r["ids"] is not None)
+    total = np.zeros((3, len(ids)))
+    for r in rows:
+        at = np.frombuffer(r["docs"], "<u2")
+        total[:, at] += np.stack([np.frombuffer(r[c], "<f8") for c in ("n", "target", "background")])
+    return pa.table([pa.array(ids, pa.int64()), pa.array(total[0].astype(np.int64)), pa.array(total[1]), pa.array(total[2])], names=["id", "n", "target", "background"])
 
 
 def labelled_target(labels: DataFrame) -> DataFrame:
@@ -298,11 +349,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     rows, scale, size = marked(_placed(docs, id_col, text_col), target_ids)
     held = units(rows, max(1, math.ceil(size / BUCKET_BYTES)))
 
-    def summed(table: pa.Table) -> pa.Table:
-        return _summed(table, scale, mix, strength)
-
-    sums = held.groupBy("bucket").applyInArrow(summed, _SUMS).groupBy("unit", "doc").agg(F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n", "target", "background")])
+    found = sums(held, scale, mix, strength).groupBy("unit").applyInArrow(_documents, "id long, n long, target double, background double")
     mean = lambda c: F.when(F.col("n") > 0, F.col(c) / F.col("n"))
-    out = sums.select("id", F.col("n").alias("n_tokens"), mean("target").alias("target_loss"), mean("background").alias("background_loss"))
+    out = found.select("id", F.col("n").alias("n_tokens"), mean("target").alias("target_loss"), mean("background").alias("background_loss"))
     out = out.withColumn("score", F.col("background_loss") - F.col("target_loss"))
     return out.withColumn("kept", F.coalesce(F.col("score") > threshold, F.lit(False)))
