@@ -1,18 +1,23 @@
-"""Near copies by the Jaccard similarity of their sets of word shingles.
-
-Two texts are linked if their sets of five-word shingles have a similarity of ``least`` or
-more. Candidates come from two sources: SimHash fingerprints within two bits, and MinHash
-bands (`BANDS` keys of `ROWS` minima each), because similar texts differ in far more bits
-than an index of fingerprints can guarantee. A pair of similarity 0.8 shares no band with
-probability (1 - 0.8 ** ROWS) ** BANDS, about 3e-6. Every candidate is verified on the sets.
-
-Texts with the same words are one class and one node. Members of a band's list are not paired
-with each other: each meets one of them, the head, so the work is linear in the list. Lists
-of more than two whose members are then in more than one component are split by a second band
-and, if that is not enough, by a third, and in each part each member meets a head again,
-unless both are in one component already. Similar texts share about ten of the bands, so about
-a hundred lists by three bands; texts that share a passage only share few or none of these.
-What that misses is measured in the README.
+"""Near copies by the Jaccard similarity of their sets of word shingles, without a miss.
+
+Two texts are linked if their sets of five-word shingles (64-bit hashes) have a similarity of
+``least`` or more. Sets of n shingles that similar share one of the first
+n - ceil(least * n) + 1 shingles of each, in any order of all shingles, so these are posted,
+and every list of one shingle holds every pair that it is to find. Rare shingles come first:
+occurrences are counted over the whole table in 2 ** `SLOTS` slots of hashes. The counts only
+decide how long lists get, never what is found.
+
+Texts with the same words are one class and one node. First each member of a list meets one
+of them, the head, which is linear in the list, and fingerprints within two bits meet (SimHash).
+These links give components. Then, in lists with members of more than one component, all
+members of different components meet, with no bound on a list. A pair is passed on if its
+sizes and its signatures allow the similarity, and in the first list that it shares or one
+soon after; signatures are the parities of 1,024 buckets of a set, which differ in no more
+places than the sets do. Every pair that is passed on is verified on the sets.
+
+What grows faster than a list are comparisons of signatures between components: a group of n
+texts of which s are linked to none of the others costs about n * s of them in each list that
+it shares. Sets of some thousand shingles fill the signatures, which then exclude little.
 
 Defined cases: letter case and white space do not count; texts of fewer than five words are
 one shingle; texts without words are one class; rows with a null id are left out.
@@ -20,6 +25,7 @@ one shingle; texts without words are one class; rows with a null id are left out
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +40,12 @@ from grainmill.llm.common import materialize, worker_cache
 from grainmill.llm.graph import connected_components
 
 SHINGLE, LEAST = 5, 0.8
-BANDS, ROWS, LEVELS = 24, 4, 3
-#: Shingles whose minima are taken at a time.
-BLOCK = 1 << 12
-
-_draw = np.random.default_rng(simhash.SEED)
-_MIX, _FLIP = (_draw.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) for _ in range(2))
-_MIX |= np.uint64(1)
+#: Bits of a shingle's slot, and the parts in which the counts of slots are added up.
+SLOTS, PARTS = 18, 64
+#: Longs of a signature; shared lists that a pair looks back on.
+WORDS, BACK = 16, 6
+#: Similarities are compared with this much to spare.
+SPARE = 1e-9
 
 
 def class_of(text: str | None) -> int:
@@ -62,17 +67,55 @@ def with_class(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """One signed key for each band over the hashes of a text's shingles."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), BLOCK):
-        least = np.minimum(least, ((hashes[None, i : i + BLOCK] ^ _FLIP) * _MIX).min(axis=1))
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+def _chosen(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+
 
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOTS)).astype(np.int64)
 
-def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class, fp, shingles, bands) for every row with an id; shingles are distinct 32-bit hashes."""
+
+def slot_levels(chosen: DataFrame) -> np.ndarray:
+    """A rising level of the occurrences of the shingles of each slot, four levels to a doubling."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache()
+        counts = np.zeros(1 << SLOTS, np.int32)
+        for batch in batches:
+            for t in batch.column(0):
+                np.add.at(counts, _slots(simhash.shingle_hashes(t.as_py(), SHINGLE)), 1)
+        parts = [part.tobytes() for part in counts.reshape(PARTS, -1)]
+        yield pa.record_batch([pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary())], names=["part", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        whole = sum(np.frombuffer(c.as_py(), np.int32).astype(np.int64) for c in table.column("counts"))
+        return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([whole.tobytes()], pa.binary())})
+
+    schema = "part int, counts binary"
+    sums = chosen.select("text").mapInArrow(run, schema).groupBy("part").applyInArrow(add, schema).collect()
+    counts = np.zeros((PARTS, (1 << SLOTS) // PARTS))
+    for row in sums:
+        counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
+    return np.floor(4 * np.log2(counts.ravel() + 1)).astype(np.uint8)
+
+
+def prefix(shingles: np.ndarray, levels: np.ndarray, least: float) -> np.ndarray:
+    """The shingles of a set of which any set that similar has one among its own."""
+    if not len(shingles):
+        return shingles
+    order = np.lexsort((shingles, levels[_slots(shingles)]))
+    return shingles[order[: len(shingles) - math.ceil((least - SPARE) * len(shingles)) + 1]]
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """The parities of the buckets of a set, as `WORDS` signed longs."""
+    odd = np.bincount((shingles & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def prints(chosen: DataFrame, least: float = LEAST) -> DataFrame:
+    """(id, class, fp, size, bits, prefix) for every row of (id, text)."""
+    levels = slot_levels(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache()
@@ -83,16 +126,31 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 for t in part.column(1):
                     t = t.as_py()
                     hashes = simhash.shingle_hashes(t, SHINGLE)
-                    sets = np.unique((hashes >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                    out.append((class_of(t), simhash.majority(hashes), sets, band_keys(hashes) if len(hashes) else []))
+                    sets = np.unique(hashes)
+                    out.append((class_of(t), simhash.majority(hashes), len(sets), signature(sets), prefix(sets, levels, least).view("<i8")))
                 fps = np.array([o[1] for o in out], dtype="<u8").view("<i8")
+                longs = pa.list_(pa.int64())
                 yield pa.record_batch(
-                    [part.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array(fps, pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.int32())), pa.array([o[3] for o in out], pa.list_(pa.int64()))],
-                    names=["id", "class", "fp", "shingles", "bands"],
+                    [part.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array(fps, pa.int64()), pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], longs), pa.array([o[4] for o in out], longs)],
+                    names=["id", "class", "fp", "size", "bits", "prefix"],
                 )
 
-    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    return chosen.mapInArrow(run, "id long, class long, fp long, shingles array<int>, bands array<long>")
+    return chosen.mapInArrow(run, "id long, class long, fp long, size int, bits array<long>, prefix array<long>")
+
+
+def shingle_sets(chosen: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, shingles) for each of ``classes``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                texts = [t.as_py() for t in batch.column(0).slice(at, 256)]
+                sets = [np.unique(simhash.shingle_hashes(t, SHINGLE)).view("<i8") for t in texts]
+                yield pa.record_batch([pa.array([class_of(t) for t in texts], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["class", "shingles"])
+
+    all_sets = chosen.select("text").mapInArrow(run, "class long, shingles array<long>")
+    return all_sets.join(classes, "class", "left_semi").dropDuplicates(["class"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -101,17 +159,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     both = pairs.join(x, "a").join(y, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     whole = F.size("sa") + F.size("sb") - common
-    return both.where((F.least(F.size("sa"), F.size("sb")) >= F.greatest(F.size("sa"), F.size("sb")) * (least - 1e-9)) & (common >= whole * (least - 1e-9))).select("a", "b")
+    return both.where(common >= whole * (least - SPARE)).select("a", "b")
+
+
+def _edges(pairs: DataFrame, chosen: DataFrame, least: float) -> DataFrame:
+    pairs = materialize(pairs, "near-pairs")
+    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    sets = materialize(shingle_sets(chosen, materialize(classes, "near-members")), "near-sets")
+    return materialize(_verified(pairs, sets, least), "near-edges")
+
+
+def _may_link(x: str, y: str, least: float) -> F.Column:
+    """Whether the sizes and signatures of the rows ``x`` and ``y`` allow the similarity."""
+    m, n, bar = F.col(f"{x}.size"), F.col(f"{y}.size"), least - SPARE
+    apart = sum(F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(WORDS))
+    return (m >= n * bar) & (n >= m * bar) & (apart <= (m + n) * ((1 - bar) / (1 + bar)) + 1e-6)
 
 
-def _stars(posting: DataFrame) -> DataFrame:
-    """(key, class, n, low): members of lists of two or more, with the size and the head of their list.
+def _stars(found: DataFrame) -> DataFrame:
+    """(key, class, low): members of lists of two or more, with the head of their list.
 
     The head is drawn by a hash, so that a member that is not like some other, which heads
     one list, meets another in the next.
     """
+    posting = found.select("class", "prefix").dropDuplicates(["class"]).select("class", F.explode("prefix").alias("key")).repartition("key")
     head = F.min(F.struct(F.xxhash64("key", "class").alias("h"), F.col("class")))["class"]
-    lists = posting.groupBy("key").agg(F.count(F.lit(1)).alias("n"), head.alias("low")).where("n > 1")
+    lists = posting.groupBy("key").agg(F.count(F.lit(1)).alias("n"), head.alias("low")).where("n > 1").drop("n")
     return materialize(posting.join(lists, "key"), "near-postings")
 
 
@@ -119,39 +192,41 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
 
 
-def components(found: DataFrame, least: float = LEAST, pair_bound: int = 64) -> DataFrame:
-    """(class, component) for every class of ``found`` (see `prints`) that has a link."""
-    found = found.select("class", "fp", "shingles", F.transform("bands", lambda k: F.xxhash64(k)).alias("bands")).dropDuplicates(["class"])
-    bands = materialize(found.select("class", "bands"), "near-bands")
-    stars = _stars(bands.select("class", F.explode("bands").alias("key")).distinct())
-    low = found.groupBy("fp").agg(F.min("class").alias("rep"))
-    same = found.select("class", "fp").join(low, "fp")
+def _rest(stars: DataFrame, signs: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of a list that are in different components and may be similar."""
+    placed = stars.select("key", "class").join(parts, "class", "left").select("key", "class", F.coalesce("component", "class").alias("part"))
+    torn = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
+    keys = placed.join(torn, "key", "left_semi").groupBy("class", "part").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    rows = keys.join(signs, "class").select("class", "part", "size", "bits", "keys", F.posexplode("keys").alias("at", "key"))
+    back = F.slice("keys", F.greatest(F.col("at") - BACK, F.lit(0)) + 1, F.least("at", F.lit(BACK)))
+    rows = materialize(rows.select("key", "class", "part", "size", "bits", back.alias("back")), "near-rest")
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") > F.col("y.class")) & (F.col("x.part") != F.col("y.part"))
+    # A pair is left out only where it has met in one of the lists before.
+    new = ~F.arrays_overlap("x.back", "y.back")
+    return rows.alias("x").join(rows.alias("y"), met & _may_link("x", "y", least) & new).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+
+
+def components(chosen: DataFrame, found: DataFrame, least: float = LEAST, pair_bound: int = 64) -> DataFrame:
+    """(class, component) for every class of ``found`` (the `prints` of ``chosen``) that has a link."""
+    signs = materialize(found.select("class", "fp", "size", "bits").dropDuplicates(["class"]), "near-signs")
+    stars = _stars(found)
+    low = signs.groupBy("fp").agg(F.min("class").alias("rep"))
+    same = signs.select("class", "fp").join(low, "fp")
     bits = simhash.links(materialize(low, "near-classes"), pair_bound, 2)
-    first = materialize(_pairs(stars, "class", "low").unionByName(_pairs(same, "class", "rep")).unionByName(_pairs(bits, "a", "b")).distinct(), "near-pairs")
-    members = stars.select("class").unionByName(first.select(F.col("a").alias("class"))).unionByName(first.select(F.col("b").alias("class"))).distinct()
-    sets = materialize(found.select("class", "shingles").join(members, "class", "left_semi"), "near-sets")
-    edges = materialize(_verified(first, sets, least), "near-edges")
+    first = _pairs(stars, "class", "low").unionByName(_pairs(same, "class", "rep")).unionByName(_pairs(bits, "a", "b")).distinct()
+    both = first.join(signs.alias("x"), F.col("a") == F.col("x.class")).join(signs.alias("y"), F.col("b") == F.col("y.class"))
+    first = both.where(_may_link("x", "y", least)).select("a", "b")
+    edges = _edges(first, chosen, least)
     parts = materialize(connected_components(edges).withColumnRenamed("node", "class"), "near-parts")
-    for _ in range(LEVELS - 1):
-        # Lists of more than two, with members of more than one component.
-        placed = stars.where("n > 2").select("key", "class").join(parts, "class", "left").select("key", "class", F.coalesce("component", "class").alias("part"))
-        torn = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
-        split = placed.join(torn, "key", "left_semi").join(bands, "class")
-        split = split.select("class", "part", "key", F.explode("bands").alias("band")).where("key <> band").select("class", "part", F.col("key").bitwiseXOR(F.col("band")).alias("key")).distinct()
-        stars = _stars(split)
-        whose = stars.select(F.col("class").alias("low"), F.col("part").alias("low_part")).distinct()
-        apart = stars.where("class <> low").join(whose, "low").where("part <> low_part")
-        pairs = materialize(_pairs(apart, "class", "low"), "near-pairs")
-        more = materialize(_verified(pairs, sets, least), "near-edges")
-        edges = edges.unionByName(more)
-        parts = materialize(connected_components(edges).withColumnRenamed("node", "class"), "near-parts")
-    return parts
+    more = _edges(_rest(stars, signs, parts, least), chosen, least)
+    return materialize(connected_components(edges.unionByName(more)).withColumnRenamed("node", "class"), "near-parts")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, pair_bound: int = 64) -> DataFrame:
     """(id, class, component, kept) for every distinct id and class; the least id of a component is kept."""
-    found = materialize(prints(docs, id_col, text_col), "near-prints")
-    parts = components(found, least, pair_bound)
+    chosen = _chosen(docs, id_col, text_col)
+    found = materialize(prints(chosen, least), "near-prints")
+    parts = components(chosen, found, least, pair_bound)
     nodes = found.select("id", "class").distinct().join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
     nodes = materialize(nodes, "near-nodes")
     heads = nodes.groupBy("component").agg(F.min(F.struct("id", "class")).alias("head"))
