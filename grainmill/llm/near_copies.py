@@ -13,11 +13,12 @@ These links give components. Then, in lists with members of more than one compon
 members of different components meet, with no bound on a list. A pair is passed on if its
 sizes and its signatures allow the similarity, and in the first list that it shares or one
 soon after; signatures are the parities of 1,024 buckets of a set, which differ in no more
-places than the sets do. Every pair that is passed on is verified on the sets.
+places than the sets do. Sets of more than `LARGE` shingles fill them, so pairs of such sets
+are held against wider ones. Every pair that is left is verified on the sets.
 
 What grows faster than a list are comparisons of signatures between components: a group of n
 texts of which s are linked to none of the others costs about n * s of them in each list that
-it shares. Sets of some thousand shingles fill the signatures, which then exclude little.
+it shares. Wide signatures fill up as well, at sets far larger than 20,000 shingles.
 
 Defined cases: letter case and white space do not count; texts of fewer than five words are
 one shingle; texts without words are one class; rows with a null id are left out.
@@ -44,6 +45,8 @@ SHINGLE, LEAST = 5, 0.8
 SLOTS, PARTS = 18, 64
 #: Longs of a signature; shared lists that a pair looks back on.
 WORDS, BACK = 16, 6
+#: Sets larger than this fill a signature and have a second one of so many longs.
+LARGE, WIDE = 1024, 256
 #: Similarities are compared with this much to spare.
 SPARE = 1e-9
 
@@ -107,14 +110,14 @@ def prefix(shingles: np.ndarray, levels: np.ndarray, least: float) -> np.ndarray
     return shingles[order[: len(shingles) - math.ceil((least - SPARE) * len(shingles)) + 1]]
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The parities of the buckets of a set, as `WORDS` signed longs."""
-    odd = np.bincount((shingles & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+def signature(shingles: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """The parities of the buckets of a set, 64 in each of ``words`` signed longs."""
+    odd = np.bincount((shingles & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
 def prints(chosen: DataFrame, least: float = LEAST) -> DataFrame:
-    """(id, class, fp, size, bits, prefix) for every row of (id, text)."""
+    """(id, class, fp, size, bits, wide, prefix) for every row of (id, text); wide is null up to `LARGE`."""
     levels = slot_levels(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,15 +130,15 @@ def prints(chosen: DataFrame, least: float = LEAST) -> DataFrame:
                     t = t.as_py()
                     hashes = simhash.shingle_hashes(t, SHINGLE)
                     sets = np.unique(hashes)
-                    out.append((class_of(t), simhash.majority(hashes), len(sets), signature(sets), prefix(sets, levels, least).view("<i8")))
+                    out.append((class_of(t), simhash.majority(hashes), len(sets), signature(sets), signature(sets, WIDE) if len(sets) > LARGE else None, prefix(sets, levels, least).view("<i8")))
                 fps = np.array([o[1] for o in out], dtype="<u8").view("<i8")
                 longs = pa.list_(pa.int64())
                 yield pa.record_batch(
-                    [part.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array(fps, pa.int64()), pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], longs), pa.array([o[4] for o in out], longs)],
-                    names=["id", "class", "fp", "size", "bits", "prefix"],
+                    [part.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array(fps, pa.int64()), pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], longs), pa.array([o[4] for o in out], longs), pa.array([o[5] for o in out], longs)],
+                    names=["id", "class", "fp", "size", "bits", "wide", "prefix"],
                 )
 
-    return chosen.mapInArrow(run, "id long, class long, fp long, size int, bits array<long>, prefix array<long>")
+    return chosen.mapInArrow(run, "id long, class long, fp long, size int, bits array<long>, wide array<long>, prefix array<long>")
 
 
 def shingle_sets(chosen: DataFrame, classes: DataFrame) -> DataFrame:
@@ -162,8 +165,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(common >= whole * (least - SPARE)).select("a", "b")
 
 
-def _edges(pairs: DataFrame, chosen: DataFrame, least: float) -> DataFrame:
-    pairs = materialize(pairs, "near-pairs")
+def _bound(m: F.Column, n: F.Column, least: float) -> F.Column:
+    """The most elements in which similar sets of these sizes differ."""
+    return (m + n) * ((1 - least + SPARE) / (1 + least - SPARE)) + 1e-6
+
+
+def _edges(pairs: DataFrame, wide: DataFrame, chosen: DataFrame, least: float) -> DataFrame:
+    x, y = (wide.select(F.col("class").alias(n), F.col("size").alias(f"n{n}"), F.col("wide").alias(f"w{n}")) for n in "ab")
+    apart = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
+    may = F.coalesce(apart <= _bound(F.col("na"), F.col("nb"), least), F.lit(True))
+    pairs = materialize(pairs.join(x, "a", "left").join(y, "b", "left").where(may).select("a", "b"), "near-pairs")
     classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     sets = materialize(shingle_sets(chosen, materialize(classes, "near-members")), "near-sets")
     return materialize(_verified(pairs, sets, least), "near-edges")
@@ -173,7 +184,7 @@ def _may_link(x: str, y: str, least: float) -> F.Column:
     """Whether the sizes and signatures of the rows ``x`` and ``y`` allow the similarity."""
     m, n, bar = F.col(f"{x}.size"), F.col(f"{y}.size"), least - SPARE
     apart = sum(F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(WORDS))
-    return (m >= n * bar) & (n >= m * bar) & (apart <= (m + n) * ((1 - bar) / (1 + bar)) + 1e-6)
+    return (m >= n * bar) & (n >= m * bar) & (apart <= _bound(m, n, least))
 
 
 def _stars(found: DataFrame) -> DataFrame:
@@ -209,6 +220,7 @@ def _rest(stars: DataFrame, signs: DataFrame, parts: DataFrame, least: float) ->
 def components(chosen: DataFrame, found: DataFrame, least: float = LEAST, pair_bound: int = 64) -> DataFrame:
     """(class, component) for every class of ``found`` (the `prints` of ``chosen``) that has a link."""
     signs = materialize(found.select("class", "fp", "size", "bits").dropDuplicates(["class"]), "near-signs")
+    wide = materialize(found.where(F.col("size") > LARGE).select("class", "size", "wide").dropDuplicates(["class"]), "near-wide")
     stars = _stars(found)
     low = signs.groupBy("fp").agg(F.min("class").alias("rep"))
     same = signs.select("class", "fp").join(low, "fp")
@@ -216,9 +228,9 @@ def components(chosen: DataFrame, found: DataFrame, least: float = LEAST, pair_b
     first = _pairs(stars, "class", "low").unionByName(_pairs(same, "class", "rep")).unionByName(_pairs(bits, "a", "b")).distinct()
     both = first.join(signs.alias("x"), F.col("a") == F.col("x.class")).join(signs.alias("y"), F.col("b") == F.col("y.class"))
     first = both.where(_may_link("x", "y", least)).select("a", "b")
-    edges = _edges(first, chosen, least)
+    edges = _edges(first, wide, chosen, least)
     parts = materialize(connected_components(edges).withColumnRenamed("node", "class"), "near-parts")
-    more = _edges(_rest(stars, signs, parts, least), chosen, least)
+    more = _edges(_rest(stars, signs, parts, least), wide, chosen, least)
     return materialize(connected_components(edges.unionByName(more)).withColumnRenamed("node", "class"), "near-parts")
 
 

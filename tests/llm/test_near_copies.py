@@ -60,3 +60,15 @@ def test_a_group_around_the_threshold_is_whole_and_few_of_its_pairs_are_verified
     expected = brute_kept(rows, 0.8)
     assert kept(spark, rows) == expected and len(expected) > 50
     assert sum(counts) < 0.1 * len(rows) * (len(rows) - 1) / 2
+
+
+def test_sets_of_some_thousand_shingles_are_left_out_before_they_are_moved(spark, monkeypatch):
+    draw, counts = random.Random(2), []
+    words = lambda n: [f"w{draw.randrange(50000)}" for _ in range(n)]
+    base = words(2500)
+    rows = [(i, " ".join(base + words(540))) for i in range(12)] + [(20 + i, " ".join(base + words(40))) for i in range(4)]
+    verify = near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *rest: counts.append(pairs.count()) or verify(pairs, *rest))
+    expected = brute_kept(rows, 0.8)
+    assert kept(spark, rows) == expected and len(expected) < len(rows)
+    assert sum(counts) < 60
