@@ -22,17 +22,35 @@ def null_safe_text(column: str) -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def _give_back() -> None:
+    """Return what this process has freed to the system, as allocators keep it for later."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another libc
+        pass
+
+
 def worker_cache(name: str = "") -> dict:
     """A dict that lives as long as this Python worker, for loaded models and word caches.
 
-    Workers serve one operator after another, so asking for one cache drops all others;
-    code that keeps nothing calls it without a name.
+    Workers serve one operator after another, so asking for one cache drops all others and
+    returns their memory to the system; code that keeps nothing calls it without a name.
     """
     import sys
     import types
 
     home = sys.modules.setdefault("_grainmill_worker_cache", types.ModuleType("_grainmill_worker_cache"))
     held = home.__dict__.setdefault("held", {})
-    for other in [k for k in held if k != name]:
+    others = [k for k in held if k != name]
+    for other in others:
         del held[other]
+    if others:
+        _give_back()
     return held.setdefault(name, {}) if name else {}

@@ -45,6 +45,8 @@ SHINGLE, LEAST = 5, 0.8
 SLOTS, PARTS = 18, 64
 #: Longs of a signature; shared lists that a pair looks back on.
 WORDS, BACK = 16, 6
+#: Bits of a slot of ids that tells whether a row's set is worked out to verify a pair.
+FLAGS = 23
 #: Sets larger than this fill a signature and have a second one of so many longs.
 LARGE, WIDE = 1024, 256
 #: Similarities are compared with this much to spare.
@@ -141,19 +143,40 @@ def prints(chosen: DataFrame, least: float = LEAST) -> DataFrame:
     return chosen.mapInArrow(run, "id long, class long, fp long, size int, bits array<long>, wide array<long>, prefix array<long>")
 
 
-def shingle_sets(chosen: DataFrame, classes: DataFrame) -> DataFrame:
-    """(class, shingles) for each of ``classes``."""
+def _flags(members: DataFrame) -> np.ndarray:
+    """A bit for each of 2 ** `FLAGS` slots of hashes of ids, set if some member's id falls into it."""
+    slot = members.select(F.shiftrightunsigned(F.xxhash64("id"), 64 - FLAGS).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
+    flags = np.zeros(1 << FLAGS - 6, "<i8")
+    flags[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return flags.view(np.uint8)
+
+
+def _flagged_sets(chosen: DataFrame, flags: np.ndarray) -> DataFrame:
+    """(class, id, shingles) for the rows whose ids have a flag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                texts = [t.as_py() for t in batch.column(0).slice(at, 256)]
+            at = batch.column(2).to_numpy().view(np.uint64) >> np.uint64(64 - FLAGS)
+            rows = np.flatnonzero(flags[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+            for k in range(0, len(rows), 256):
+                part = batch.take(pa.array(rows[k : k + 256]))
+                texts = part.column(1).to_pylist()
                 sets = [np.unique(simhash.shingle_hashes(t, SHINGLE)).view("<i8") for t in texts]
-                yield pa.record_batch([pa.array([class_of(t) for t in texts], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["class", "shingles"])
+                yield pa.record_batch([pa.array([class_of(t) for t in texts], pa.int64()), part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["class", "id", "shingles"])
+
+    return chosen.select("id", "text", F.xxhash64("id").alias("slot")).mapInArrow(run, "class long, id long, shingles array<long>")
 
-    all_sets = chosen.select("text").mapInArrow(run, "class long, shingles array<long>")
-    return all_sets.join(classes, "class", "left_semi").dropDuplicates(["class"])
+
+def shingle_sets(chosen: DataFrame, members: DataFrame) -> DataFrame:
+    """(class, shingles) for each of ``members`` (class, id), from a row of its id.
+
+    Sets of other rows are not worked out, but for the few whose ids share a slot with a
+    member's; these are left out after.
+    """
+    some = _flagged_sets(chosen, _flags(members))
+    return some.join(members, ["class", "id"], "left_semi").select("class", "shingles").dropDuplicates(["class"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -170,13 +193,14 @@ def _bound(m: F.Column, n: F.Column, least: float) -> F.Column:
     return (m + n) * ((1 - least + SPARE) / (1 + least - SPARE)) + 1e-6
 
 
-def _edges(pairs: DataFrame, wide: DataFrame, chosen: DataFrame, least: float) -> DataFrame:
+def _edges(pairs: DataFrame, wide: DataFrame, chosen: DataFrame, found: DataFrame, least: float) -> DataFrame:
     x, y = (wide.select(F.col("class").alias(n), F.col("size").alias(f"n{n}"), F.col("wide").alias(f"w{n}")) for n in "ab")
     apart = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
     may = F.coalesce(apart <= _bound(F.col("na"), F.col("nb"), least), F.lit(True))
     pairs = materialize(pairs.join(x, "a", "left").join(y, "b", "left").where(may).select("a", "b"), "near-pairs")
     classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    sets = materialize(shingle_sets(chosen, materialize(classes, "near-members")), "near-sets")
+    members = found.select("class", "id").join(classes, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id"))
+    sets = materialize(shingle_sets(chosen, materialize(members, "near-members")), "near-sets")
     return materialize(_verified(pairs, sets, least), "near-edges")
 
 
@@ -228,9 +252,9 @@ def components(chosen: DataFrame, found: DataFrame, least: float = LEAST, pair_b
     first = _pairs(stars, "class", "low").unionByName(_pairs(same, "class", "rep")).unionByName(_pairs(bits, "a", "b")).distinct()
     both = first.join(signs.alias("x"), F.col("a") == F.col("x.class")).join(signs.alias("y"), F.col("b") == F.col("y.class"))
     first = both.where(_may_link("x", "y", least)).select("a", "b")
-    edges = _edges(first, wide, chosen, least)
+    edges = _edges(first, wide, chosen, found, least)
     parts = materialize(connected_components(edges).withColumnRenamed("node", "class"), "near-parts")
-    more = _edges(_rest(stars, signs, parts, least), wide, chosen, least)
+    more = _edges(_rest(stars, signs, parts, least), wide, chosen, found, least)
     return materialize(connected_components(edges.unionByName(more)).withColumnRenamed("node", "class"), "near-parts")
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 
@@ -72,3 +75,30 @@ def test_sets_of_some_thousand_shingles_are_left_out_before_they_are_moved(spark
     expected = brute_kept(rows, 0.8)
     assert kept(spark, rows) == expected and len(expected) < len(rows)
     assert sum(counts) < 60
+
+
+def test_sets_are_worked_out_for_members_only(spark):
+    rows = [(i, f"a b c d e f g {i % 500}") for i in range(2000)] + [(7, "another text of the same id")]
+    chosen = spark.createDataFrame(rows, "id long, text string")
+    texts = {near_copies.class_of(t): t for i, t in rows if i in (3, 7, 1999)}
+    members = spark.createDataFrame([(near_copies.class_of(t), i) for i, t in rows if i in (3, 7, 1999)], "class long, id long")
+    assert near_copies._flagged_sets(chosen, near_copies._flags(members)).count() < 20
+    sets = {r["class"]: len(r["shingles"]) for r in near_copies.shingle_sets(chosen, members).collect()}
+    assert sets == {c: len(shingles(t)) for c, t in texts.items()} and len(sets) == 4
+
+
+def test_a_worker_gives_the_memory_of_dropped_caches_back():
+    code = """
+from pathlib import Path
+import pyarrow
+from grainmill.llm.common import worker_cache
+mb = lambda: sum(int(x.split()[1]) for x in Path("/proc/self/smaps_rollup").read_text().splitlines() if x.startswith("Pss_Anon")) / 1024
+worker_cache("many")["x"] = [bytes(4000) for _ in range(50000)]
+pin, full = [bytes(4000) for _ in range(9)], mb()
+worker_cache()
+print(full - mb())
+"""
+    if not Path("/proc/self/smaps_rollup").exists():
+        pytest.skip("memory can't be read here")
+    said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], capture_output=True, text=True, check=True)
+    assert float(said.stdout) > 150
