@@ -27,7 +27,8 @@ seed that leaves their keys on free slots (hash and displace).
 Encoding: the tokenizer cuts texts before every single space that a visible character
 follows, so ids of such words do not depend on their neighbours. A word is cut as the
 tokenizer's expression cuts it, the library's model encodes each piece once per worker, and
-words are kept (up to ``cache_words``). Words with characters beyond `_PLAIN` are encoded by
+words are kept (up to ``cache_words``). Texts are taken in slices of about ``SLICE_BYTES``; only
+the distinct words of a slice are looked up, Arrow finds them and puts their ids in place. Words with characters beyond `_PLAIN` are encoded by
 the library as they are; texts with other white space around spaces, or with strings of
 special tokens, go to it whole. Texts are never cut otherwise.
 
@@ -51,6 +52,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,6 +61,12 @@ from grainmill.llm.common import shuffle_width, worker_cache
 
 #: Keys in a cell of the index.
 CELL = 1 << 15
+#: UTF-8 bytes of the texts that are encoded at once; a longer text is a slice of its own.
+SLICE_BYTES = 1 << 24
+#: Distinct words of a slice that Python holds at once, so that the cache grows by so many beyond its limit.
+LOOKED_UP = 1 << 16
+#: Characters that go to the library in one call, with 64 more for each text.
+LIBRARY_CHARS = 1 << 19
 SCHEMA = "part int, seq int, part_start long, n_ids long, null_keys int, payload binary, doc_keys binary, bounds binary"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 INDEX = "cell long, cells long, n_keys int, seeds binary, fingerprints binary, parts binary, seqs binary, starts binary, sizes binary"
@@ -67,6 +75,8 @@ _ODD_SPACE = re.compile(r" (?![!-~¡-ɏ])")
 #: Words of characters whose classes no version of Unicode disputes.
 _PLAIN = re.compile(r"[\n!-~¡-ɏ]*")
 _LETTERS, _NUMBERS = ("".join(re.escape(chr(c)) for c in range(0x21, 0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN")
+#: Plain characters that are neither letters, numbers nor white space; the tokenizer does not cut between them.
+_MARKS = "".join(c for c in map(chr, range(0x21, 0x250)) if _PLAIN.fullmatch(c) and unicodedata.category(c)[0] not in "LN")
 #: How the tokenizer cuts plain words.
 _CUT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -162,7 +172,14 @@ class Encoder:
         self.bare: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        """The library's own ids, a few texts at a time: what it returns takes far more memory than the ids."""
+        out, start, held = [], 0, 0
+        for i, t in enumerate(texts):
+            held += len(t) + 64
+            if held >= LIBRARY_CHARS or i + 1 == len(texts):
+                out += [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts[start : i + 1], add_special_tokens=False)]
+                start, held = i + 1, 0
+        return out
 
     def _piece(self, piece: str) -> bytes:
         """The ids of what the tokenizer does not cut further."""
@@ -182,14 +199,26 @@ class Encoder:
             out.append(blob)
         return b"".join(out)
 
-    def _learn(self, fresh: set[str]) -> None:
+    def _learn(self, fresh: list[str]) -> None:
         """Put the ids of words, each with a space before it, into the cache."""
-        odd, after, blobs, tokenize, space = [], self.after, self.blobs, self.tokenize, self.space
+        odd, after, bare, blobs, tokenize, space = [], self.after, self.bare, self.blobs, self.tokenize, self.space
         for w in fresh:
             if w.isascii() and w.isalpha():
                 after[w] = b"".join([blobs[t.id] for t in tokenize(space + w)])
             elif _PLAIN.fullmatch(w):
-                after[w] = self._word(f" {w}")
+                # Letters are one piece, and so are marks that end the word.
+                letters = w.rstrip(_MARKS)
+                if not letters.isalpha():
+                    after[w] = self._word(f" {w}")
+                    continue
+                blob = after.get(letters)
+                if blob is None:
+                    blob = after[letters] = self._piece(f" {letters}")
+                if marks := w[len(letters) :]:
+                    tail = bare.get(marks)
+                    if tail is None:
+                        tail = bare[marks] = self._piece(marks)
+                    after[w] = blob + tail
             else:
                 odd.append(w)
         after.update(zip(odd, self._library([f" {w}" for w in odd]), strict=True))
@@ -207,20 +236,45 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if not self.plain or _ODD_SPACE.search(t) or any(s in t for s in self.special)]
         done = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True))
+        cut = [i for i in range(len(texts)) if i not in done]
+        done.update(zip(cut, self._by_words([texts[i] for i in cut]), strict=True))
+        return [done[i] for i in range(len(texts))]
+
+    def _looked_up(self, words: list[str]) -> pa.Array:
+        """The ids of words, each with a space before it."""
         if len(self.after) + len(self.bare) > self.limit:
             self.after.clear()
             self.bare.clear()
-        for i, t in enumerate(texts):
-            if i in done:
-                continue
-            head, *rest = t.split(" ")
-            got = list(map(self.after.get, rest))
-            if None in got:
-                self._learn({w for w, g in zip(rest, got, strict=True) if g is None})
-                got = map(self.after.__getitem__, rest)
-            first = b"" if not head else self._word(head) if _PLAIN.fullmatch(head) else self._library([head])[0]
-            done[i] = first + b"".join(got)
-        return [done[i] for i in range(len(texts))]
+        got = list(map(self.after.get, words))
+        fresh = [i for i, g in enumerate(got) if g is None]
+        self._learn([words[i] for i in fresh])
+        for i in fresh:
+            got[i] = self.after[words[i]]
+        return pa.array(got, pa.large_binary())
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that may be cut before every space."""
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        coded = split.flatten().dictionary_encode()
+        # What stands before the first space has no space before it, so each text has its own.
+        at, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+        at[bounds[:-1]] = n + np.arange(len(texts))
+        used = np.zeros(n + len(texts), bool)
+        used[at] = True
+        distinct = coded.dictionary.filter(pa.array(used[:n]))
+        parts = [self._looked_up(distinct.slice(i, LOOKED_UP).to_pylist()) for i in range(0, len(distinct), LOOKED_UP)]
+        got = []
+        for t in texts:
+            head = t.partition(" ")[0]
+            got.append(b"" if not head else self._word(head) if _PLAIN.fullmatch(head) else self._library([head])[0])
+        ids = pa.concat_arrays([*parts, pa.array(got, pa.large_binary())]).take(pa.array((np.cumsum(used) - 1)[at]))
+        _, offsets, data = ids.buffers()
+        edges = np.frombuffer(offsets, np.int64)[bounds].tolist()
+        view = memoryview(data) if data else b""
+        return [bytes(view[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def load_encoder(tokenizer_path: str, cache_words: int = 800_000) -> Encoder:
@@ -230,6 +284,19 @@ def load_encoder(tokenizer_path: str, cache_words: int = 800_000) -> Encoder:
     return cache[tokenizer_path]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, cut so that a slice has one row or at most ``SLICE_BYTES`` of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > SLICE_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if sizes:
+        yield batch.slice(start)
+
+
 def _record(part: int, seq: int, start: int, keys: list[int | None], blobs: list[bytes]) -> pa.RecordBatch:
     real = np.array([k for k in keys if k is not None], dtype="<i8")
     bounds = np.cumsum([0, *(len(b) // 4 for b in blobs)], dtype="<i8")
@@ -253,8 +320,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
         blobs: list[bytes] = []
         held = 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                piece = batch.slice(i, 256)
+            for piece in _slices(batch):
                 for key, blob in zip(piece.column(0).to_pylist(), encoder.encode([t or "" for t in piece.column(1).to_pylist()]), strict=True):
                     keys.append(key)
                     blobs.append(blob + end)

@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -368,6 +369,73 @@ def test_words_are_cut_as_the_library_cuts_them():
         assert [np.frombuffer(b, "<u4").tolist() for b in got] == [library.encode(t, add_special_tokens=False).ids for t in texts[i : i + 50]]
 
 
+def test_a_word_is_looked_up_once_however_often_it_stands():
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    mine, library = token_files.Encoder(path, 1000), Tokenizer.from_file(path)
+    mine.after = Counted()
+    texts = ["the river and the sea. " * 500 + "end" for _ in range(20)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in mine.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counted.asked < 100
+
+
+def test_words_that_end_in_marks_match_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, mine = Tokenizer.from_file(path), token_files.Encoder(path, 40)
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abstéßÆªñ") for _ in range(draw.randrange(6))) + "".join(draw.choice("'.,*«»¿$|s2\n²") for _ in range(draw.randrange(4))) for _ in range(2000)]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randrange(30))) for _ in range(600)] + ["", "漢字", "one", "<|endoftext|>"]
+    for group in (texts, texts[:300], ["", ""], ["<|endoftext|>"], []):
+        assert [np.frombuffer(b, "<u4").tolist() for b in mine.encode(group)] == [library.encode(t, add_special_tokens=False).ids for t in group]
+
+
+def test_the_library_gets_few_texts_at_a_time(monkeypatch):
+    monkeypatch.setattr(token_files, "LIBRARY_CHARS", 300)
+    mine = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 1000)
+    texts = ["  two  spaces ", "", "漢字 и слова", "x" * 900] * 5
+    library, sizes = mine.tokenizer, []
+
+    class Watched:
+        def encode_batch(self, group, **options):
+            sizes.append(sum(len(t) + 64 for t in group[:-1]))
+            return library.encode_batch(group, **options)
+
+    mine.tokenizer = Watched()
+    assert [np.frombuffer(b, "<u4").tolist() for b in mine.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(sizes) > 2 and max(sizes) < 300
+
+
+def test_the_cache_stays_near_its_limit_in_a_slice_of_different_words(monkeypatch):
+    monkeypatch.setattr(token_files, "LOOKED_UP", 50)
+    mine = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 100)
+    texts = [" ".join("".join("abcdefghij"[int(c)] for c in str(n)) for n in range(k * 100, k * 100 + 100)) for k in range(1, 21)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in mine.encode(texts)] == [mine.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(mine.after) <= 150
+
+
+def test_slices_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    texts = ["é" * 3, None, "a" * 4, "b", "c" * 50, "", "d" * 10, "e", "f" * 9]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["id", "text"])
+    slices = [s.column(1).to_pylist() for s in token_files._slices(batch)]
+    assert slices == [["ééé", None, "aaaa"], ["b"], ["c" * 50], ["", "d" * 10], ["e", "f" * 9]]
+    assert list(token_files._slices(batch.slice(0, 0))) == []
+
+
 def test_the_index_is_minimal_and_perfect():
     for n in (0, 1, 2, 50, 3000):
         keys = np.unique(np.random.default_rng(n).integers(-(1 << 62), 1 << 62, n))
