@@ -1,7 +1,8 @@
 """Source adapters: from the rows of one corpus to (user, assistant, meta, slice, pos).
 
 Each takes a DataFrame with a position column (`selection.with_position`) and is lazy. Scan
-limits cut raw rows; caps count accepted rows in source order.
+limits cut raw rows; caps count accepted rows in source order. None is no scan limit, and no cap of
+dialogues.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def _emit(df: DataFrame, *order: str) -> DataFrame:
 
 
 def screenplay(
-    df: DataFrame, voice_cap: int, structure_cap: int, max_scan: int, genres: tuple[str, ...] = fixed.GENRES, voice: tuple[str, ...] = fixed.VOICE_CATEGORIES, structure: tuple[str, ...] = fixed.STRUCTURE_CATEGORIES,
+    df: DataFrame, voice_cap: int, structure_cap: int, max_scan: int | None, genres: tuple[str, ...] = fixed.GENRES, voice: tuple[str, ...] = fixed.VOICE_CATEGORIES, structure: tuple[str, ...] = fixed.STRUCTURE_CATEGORIES,
     source: str = "Atum09/screenplay-dataset", license: str = "mit",
 ) -> DataFrame:
     """Two slices from one scan: a category goes to voice or to structure."""
@@ -58,17 +59,18 @@ def screenplay(
     return selection.cap(good, limit, ["slice"], ["pos"], max(voice_cap, structure_cap)).where(limit > 0)
 
 
-def multichar(df: DataFrame, cap: int, max_scan: int, source: str = "agentlans/multi-character-dialogue", license: str = "cc-by-4.0") -> DataFrame:
+def multichar(df: DataFrame, cap: int | None, max_scan: int | None, source: str = "agentlans/multi-character-dialogue", license: str = "cc-by-4.0") -> DataFrame:
     """Dialogues from JSON texts: ``setting``, ``conversation`` and ``characters``."""
     rows = once(selection.scan_limit(df, max_scan).select(text.clean("setting").alias("setting"), arrays.as_list("conversation").alias("turns"), arrays.as_map("characters").alias("cast"), "pos"))
     rows = rows.where((F.col("setting") != "") & (F.size("turns") >= 3))
     names = arrays.first_keys("cast")
     user = F.concat(F.lit(f"{fixed.SCENE_PROMPT}\nSetting: "), F.col("setting"), F.when(names != "", F.concat(F.lit("\nCharacters: "), names)).otherwise(""))
     shaped = rows.select(user.alias("user"), arrays.render_dialogue(F.transform("turns", arrays.turn_of)).alias("assistant"), meta(source=source, slice="multichar", license=license).alias("meta"), "pos")
-    return selection.cap(_emit(_accept(shaped, max_len=9000)), cap, ["slice"], ["pos"])
+    good = _emit(_accept(shaped, max_len=9000))
+    return good if cap is None else selection.cap(good, cap, ["slice"], ["pos"])
 
 
-def dramabench(df: DataFrame, cap: int, max_scan: int, source: str = "FutureMa/DramaBench", license: str = "mit") -> DataFrame:
+def dramabench(df: DataFrame, cap: int, max_scan: int | None, source: str = "FutureMa/DramaBench", license: str = "mit") -> DataFrame:
     """Scripts to be continued: ``title``, ``description``, ``context``, ``continuation``."""
     rows = once(selection.scan_limit(df, max_scan).select(*[text.clean(c).alias(c) for c in ("title", "description", "context", "continuation")], "pos"))
     rows = rows.where((F.col("context") != "") & (F.col("continuation") != ""))
@@ -92,7 +94,7 @@ def accepted_chunks(book: Column, per_book: int = 4, least: int = 1200, separato
     return F.slice(F.filter(numbered, good), 1, per_book)
 
 
-def gutenberg(df: DataFrame, cap: int, max_books: int, per_book: int = 4, normalize_first: bool = False, source: str = "manu/project_gutenberg", license: str = "public-domain", **chunking) -> DataFrame:
+def gutenberg(df: DataFrame, cap: int, max_books: int | None, per_book: int = 4, normalize_first: bool = False, source: str = "manu/project_gutenberg", license: str = "public-domain", **chunking) -> DataFrame:
     """Dialogue-rich chunks of books (``id``, ``text``); a book that is too short still counts as scanned."""
     body = text.clean("text") if normalize_first else F.coalesce(F.col("text"), F.lit(""))
     books = selection.scan_limit(df, max_books).where(F.length(F.coalesce("text", F.lit(""))) >= 4000)
@@ -101,7 +103,7 @@ def gutenberg(df: DataFrame, cap: int, max_books: int, per_book: int = 4, normal
     return selection.cap(_emit(shaped, "part"), cap, ["slice"], ["pos", "part"]).drop("part")
 
 
-def writingprompts(df: DataFrame, cap: int, max_scan: int, min_hits: int = 2, patterns: tuple[str, ...] = fixed.DRAMA_PATTERNS, source: str = "euclaise/writingprompts", license: str = "mit") -> DataFrame:
+def writingprompts(df: DataFrame, cap: int, max_scan: int | None, min_hits: int = 2, patterns: tuple[str, ...] = fixed.DRAMA_PATTERNS, source: str = "euclaise/writingprompts", license: str = "mit") -> DataFrame:
     """Stories by ``prompt``: tokenized texts, of which the opening must be dramatic."""
     rows = once(selection.scan_limit(df, max_scan).select(text.detokenize("prompt").alias("prompt"), text.detokenize("story").alias("story"), "pos")).where((F.col("prompt") != "") & (F.col("story") != ""))
     rows = rows.where(text.is_dramatic(F.concat(F.col("prompt"), F.lit(" "), text.head("story", 1500)), min_hits, patterns)).where(text.quality_ok("story", min_len=400, max_len=8000)).where(text.is_sfw("prompt", "story"))

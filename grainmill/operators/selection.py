@@ -29,9 +29,9 @@ def with_position(df: DataFrame, name: str = "pos") -> DataFrame:
     return placed.join(sizes.select("_file", before.alias("_before")), "_file").withColumn(name, F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
 
 
-def scan_limit(df: DataFrame, n: int, position: str = "pos") -> DataFrame:
-    """The first n rows of the source, before any filter."""
-    return df.where(F.col(position) < n)
+def scan_limit(df: DataFrame, n: int | None, position: str = "pos") -> DataFrame:
+    """The first n rows of the source, before any filter; all of them without a limit."""
+    return df if n is None else df.where(F.col(position) < n)
 
 
 def cap(df: DataFrame, limit: int | Column, by: list[str], order: list[str | Column], most: int | None = None) -> DataFrame:

@@ -211,27 +211,27 @@ def adapter_screenplay(spark: SparkSession, sf: str) -> DataFrame:
     rows = talks.select(
         F.col("turns").alias("conversations"), F.when(F.element_at("turns", 1)["from"] == "system", "Monologue").otherwise("tv_pilot").alias("category"), F.lit("Drama").alias("genre"), F.col("conv_id").alias("pos"),
     )
-    return adapters.screenplay(rows, 50, 100, 10_000_000).select("pos", "slice", "user", "assistant", F.col("meta.category").alias("category"))
+    return adapters.screenplay(rows, 50, 100, None).select("pos", "slice", "user", "assistant", F.col("meta.category").alias("category"))
 
 
 def adapter_dialogue(spark: SparkSession, sf: str) -> DataFrame:
     rows = _talks(spark, sf).select(F.concat(F.lit(" Room "), F.col("conv_id").cast("string")).alias("setting"), F.to_json("turns").alias("conversation"), F.lit('{"user": "asks", "assistant": "answers"}').alias("characters"), F.col("conv_id").alias("pos"))
-    return adapters.multichar(rows, 10_000, 10_000_000).select("pos", "user", "assistant")
+    return adapters.multichar(rows, None, None).select("pos", "user", "assistant")
 
 
 def adapter_continuation(spark: SparkSession, sf: str) -> DataFrame:
     rows = _docs(spark, sf).select(F.col("source").alias("title"), F.col("text").alias("description"), F.col("text").alias("context"), F.col("text").alias("continuation"), F.col("doc_id").alias("pos"))
-    return adapters.dramabench(rows, 500, 10_000_000).select("pos", F.md5(F.col("user").cast("binary")).alias("user_md5"), F.md5(F.col("assistant").cast("binary")).alias("assistant_md5"))
+    return adapters.dramabench(rows, 500, None).select("pos", F.md5(F.col("user").cast("binary")).alias("user_md5"), F.md5(F.col("assistant").cast("binary")).alias("assistant_md5"))
 
 
 def adapter_prompt_story(spark: SparkSession, sf: str) -> DataFrame:
     rows = _docs(spark, sf).select(F.left("text", F.lit(60)).alias("prompt"), _noisy(F.col("text")).alias("story"), F.col("doc_id").alias("pos"))
-    return adapters.writingprompts(rows, 400, 10_000_000, 2, PROSE).select("pos", "user", F.md5(F.col("assistant").cast("binary")).alias("assistant_md5"))
+    return adapters.writingprompts(rows, 400, None, 2, PROSE).select("pos", "user", F.md5(F.col("assistant").cast("binary")).alias("assistant_md5"))
 
 
 def adapter_chunks(spark: SparkSession, sf: str) -> DataFrame:
     rows = _docs(spark, sf).select(F.col("doc_id").alias("id"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"), F.col("doc_id").alias("pos"))
-    return adapters.gutenberg(rows, 500, 10_000_000, patterns=PROSE, quoted=False).select("pos", F.col("meta.book_id").alias("book_id"), "assistant")
+    return adapters.gutenberg(rows, 500, None, patterns=PROSE, quoted=False).select("pos", F.col("meta.book_id").alias("book_id"), "assistant")
 
 
 # ------------------------------------------------------------------ synthesis

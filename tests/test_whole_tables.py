@@ -42,3 +42,19 @@ def test_the_build_has_no_cap(spark, one_language):
     want = twin(one_language, "documents", catalogue.ORACLES["shuffle_split"])
     got = Counter(map(tuple, catalogue.shuffle_split(spark, str(one_language)).collect()))
     assert got == want and sum(got.values()) > catalogue.CAP
+
+
+def test_adapters_have_no_limit_that_their_sql_lacks(spark, tmp_path):
+    """More dialogues than 10,000, and positions from 10 million on."""
+    first = 9_990_000
+    talk = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)) + " the end that ends."
+    turns = spark.range(first, first + 10_050).select(F.col("id").alias("conv_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("turn"))
+    turns.select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit(talk), F.col("conv_id").cast("string")).alias("text")).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = Counter(map(tuple, catalogue.adapter_dialogue(spark, str(tmp_path)).collect()))
+    assert got == twin(tmp_path, "conversations", catalogue.ORACLES["adapter_dialogue"]) and sum(got.values()) == 10_050
+    book = "\n".join("the that and " + " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + line)}ord" for k in range(60)) for line in range(12))
+    docs = spark.range(10_000_000, 10_000_003).select(F.col("id").alias("doc_id"), F.lit("src1").alias("source"), F.lit(book).alias("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("adapter_continuation", "adapter_prompt_story", "adapter_chunks"):
+        got = Counter(map(tuple, catalogue.QUERIES[name](spark, str(tmp_path)).collect()))
+        assert got == twin(tmp_path, "documents", catalogue.ORACLES[name]) and sum(got.values()) >= 3
