@@ -70,9 +70,9 @@ def pack(parts: Column | str, least: int = 1200, joint: str = "\n\n") -> Column:
     """Greedy chunks: parts are added until their lengths reach ``least``; a rest that does not is left out.
 
     The places of the cuts are found first, over lengths alone, and each chunk is then cut
-    out once, so a long text costs its length and not the square of it.
+    out once, and parts are worked out once for all chunks, so a long text costs its length and
+    not the square of it.
     """
-    parts = _c(parts)
     state = F.struct(F.lit(0).alias("i"), F.lit(0).alias("sum"), F.expr("cast(array() as array<int>)").alias("cuts"))
 
     def step(s: Column, p: Column) -> Column:
@@ -80,10 +80,12 @@ def pack(parts: Column | str, least: int = 1200, joint: str = "\n\n") -> Column:
         full = total >= least
         return F.struct((s["i"] + 1).alias("i"), F.when(full, 0).otherwise(total).alias("sum"), F.when(full, F.array_append(s["cuts"], s["i"] + 1)).otherwise(s["cuts"]).alias("cuts"))
 
-    cuts = F.aggregate(parts, state, step, lambda s: s["cuts"])
-    bounds = F.zip_with(F.concat(F.array(F.lit(0)), F.slice(cuts, 1, F.greatest(F.size(cuts) - 1, F.lit(0)))), cuts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    chunks = F.transform(bounds, lambda x: F.array_join(F.slice(parts, x["a"] + 1, x["b"] - x["a"]), joint))
-    return F.when(F.size(cuts) > 0, chunks).otherwise(F.expr("cast(array() as array<string>)"))
+    def cut(parts: Column, cuts: Column) -> Column:
+        bounds = F.zip_with(F.concat(F.array(F.lit(0)), F.slice(cuts, 1, F.greatest(F.size(cuts) - 1, F.lit(0)))), cuts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        chunks = F.transform(bounds, lambda x: F.array_join(F.slice(parts, x["a"] + 1, x["b"] - x["a"]), joint))
+        return F.when(F.size(cuts) > 0, chunks).otherwise(F.expr("cast(array() as array<string>)"))
+
+    return text.let(_c(parts), lambda parts: text.let(F.aggregate(parts, state, step, lambda s: s["cuts"]), lambda cuts: cut(parts, cuts)))
 
 
 def messages(system: Column, user: Column, assistant: Column) -> Column:
