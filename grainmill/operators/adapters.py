@@ -105,7 +105,8 @@ def gutenberg(df: DataFrame, cap: int, max_books: int | None, per_book: int = 4,
 
 def writingprompts(df: DataFrame, cap: int, max_scan: int | None, min_hits: int = 2, patterns: tuple[str, ...] = fixed.DRAMA_PATTERNS, source: str = "euclaise/writingprompts", license: str = "mit") -> DataFrame:
     """Stories by ``prompt``: tokenized texts, of which the opening must be dramatic."""
-    rows = once(selection.scan_limit(df, max_scan).select(text.detokenize("prompt").alias("prompt"), text.detokenize("story").alias("story"), "pos")).where((F.col("prompt") != "") & (F.col("story") != ""))
+    raw = once(selection.scan_limit(df, max_scan).select("prompt", "story", "pos")).where(text.detokenized_may_fit("story", 8000))
+    rows = once(raw.select(text.detokenize("prompt").alias("prompt"), text.detokenize("story").alias("story"), "pos")).where((F.col("prompt") != "") & (F.col("story") != ""))
     rows = rows.where(text.is_dramatic(F.concat(F.col("prompt"), F.lit(" "), text.head("story", 1500)), min_hits, patterns)).where(text.quality_ok("story", min_len=400, max_len=8000)).where(text.is_sfw("prompt", "story"))
     shaped = rows.select(F.concat(F.lit(fixed.TWIST_PROMPT), F.col("prompt")).alias("user"), F.col("story").alias("assistant"), meta(source=source, slice="writingprompts_twist", license=license).alias("meta"), "pos")
     return selection.cap(_emit(shaped), cap, ["slice"], ["pos"])
