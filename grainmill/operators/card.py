@@ -24,9 +24,9 @@ def by_license(df: DataFrame) -> DataFrame:
     return counts_by(df, F.coalesce("meta.license", F.lit("?")), "license")
 
 
-def totals(df: DataFrame) -> DataFrame:
-    """Rows by split, and tokens at four characters each, system prompts included."""
-    chars = F.coalesce(F.sum(arrays.message_chars("messages")), F.lit(0))
+def totals(df: DataFrame, chars: Column | None = None) -> DataFrame:
+    """Rows by split, and tokens at four characters each, system prompts included; ``chars`` if they are counted already."""
+    chars = F.coalesce(F.sum(arrays.message_chars("messages") if chars is None else chars), F.lit(0))
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_if(F.col("split") == "train").alias("train_rows"), F.count_if(F.col("split") == "val").alias("val_rows"), F.floor(chars / 4).cast("long").alias("approx_tokens"),
     )
@@ -36,13 +36,13 @@ def _as_map(pairs: Column) -> Column:
     return F.map_from_entries(F.array_sort(F.collect_list(pairs)))
 
 
-def card(df: DataFrame, scale: float | None = None, note: str | None = None) -> DataFrame:
+def card(df: DataFrame, scale: float | None = None, note: str | None = None, chars: Column | None = None) -> DataFrame:
     """The data card as one row; maps hold one entry per slice or license."""
     slices = by_slice(df).agg(_as_map(F.struct("slice", "n_rows")).alias("by_slice"))
     licenses = by_license(df).agg(_as_map(F.struct("license", "n_rows")).alias("by_license"))
     sources = df.select(F.col("meta.slice").alias("s"), F.coalesce("meta.license", F.lit("?")).alias("l")).groupBy("s").agg(F.min("l").alias("l")).agg(_as_map(F.struct("s", "l")).alias("sources"))
     # Each side is one row.
-    one = totals(df).crossJoin(slices).crossJoin(licenses).crossJoin(sources)
+    one = totals(df, chars).crossJoin(slices).crossJoin(licenses).crossJoin(sources)
     extra = {"scale": F.lit(scale)} if scale is not None else {}
     extra |= {"note": F.lit(note)} if note is not None else {}
     return one.select("total_rows", "train_rows", "val_rows", "approx_tokens", "by_slice", "by_license", "sources", F.lit(FORMAT).alias("format"), F.lit(POLICY).alias("policy"), *[c.alias(k) for k, c in extra.items()])

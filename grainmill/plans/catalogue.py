@@ -91,18 +91,26 @@ def augment_anti_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ the build
-def build(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean, gate, keep the first of each key, wrap as chat, split."""
+def build(spark: SparkSession, sf: str, *columns: str | Column) -> DataFrame:
+    """Clean, gate, wrap as chat, keep the first of each key, split.
+
+    With ``columns`` these are taken of each row before it is moved, so its texts stay where they are.
+    """
     rows = scratch.once(_docs(spark, sf).select("doc_id", "lang", "source", text.clean("text").alias("assistant")))
-    good = rows.where(text.quality_ok("assistant")).where(text.is_sfw("assistant"))
-    first = selection.first_wins(good.withColumn("key", text.norm_key("assistant")), "key", ["lang", "doc_id"])
+    good = rows.where(text.quality_ok("assistant")).where(text.is_sfw("assistant")).withColumn("key", text.norm_key("assistant"))
     license = F.when(F.col("source") != "src3", F.col("source"))
-    shaped = first.select("doc_id", "lang", F.concat(F.lit("Continue: "), text.head("assistant", 40)).alias("user"), "assistant", adapters.meta(source=F.col("source"), slice=F.col("lang"), license=license).alias("meta"))
-    return selection.split(chat.wrap(shaped, PROMPTS, "lang"), "doc_id", SEED)
+    shaped = good.select("doc_id", "lang", "key", F.concat(F.lit("Continue: "), text.head("assistant", 40)).alias("user"), "assistant", adapters.meta(source=F.col("source"), slice=F.col("lang"), license=license).alias("meta"))
+    wrapped = chat.wrap(shaped, PROMPTS, "lang").select("doc_id", "lang", "key", *(columns or ("messages", "meta")))
+    return selection.split(selection.first_wins(wrapped, "key", ["lang", "doc_id"]).drop("key"), "doc_id", SEED)
+
+
+def _sized(spark: SparkSession, sf: str) -> DataFrame:
+    """The build with the characters of a row instead of its texts: what cards ask for."""
+    return build(spark, sf, "meta", arrays.message_chars("messages").alias("n_chars"))
 
 
 def card_by_slice(spark: SparkSession, sf: str) -> DataFrame:
-    return build(spark, sf).groupBy(F.col("meta.slice").alias("slice"), "split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(arrays.message_chars("messages")).alias("n_chars"))
+    return _sized(spark, sf).groupBy(F.col("meta.slice").alias("slice"), "split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").alias("n_chars"))
 
 
 def chat_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,22 +118,23 @@ def chat_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shuffle_split(spark: SparkSession, sf: str) -> DataFrame:
-    return build(spark, sf).select("doc_id", "place", "total", "split")
+    return build(spark, sf, "meta").select("doc_id", "place", "total", "split")
 
 
 def stride_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return selection.stride_sample(build(spark, sf)).select("doc_id", "place")
+    return selection.stride_sample(build(spark, sf, "meta")).select("doc_id", "place")
 
 
 def card_row(spark: SparkSession, sf: str) -> DataFrame:
     """The data card with its maps as JSON."""
-    row = card.card(build(spark, sf), scale=1.0)
+    row = card.card(_sized(spark, sf), scale=1.0, chars=F.col("n_chars"))
     return row.select("total_rows", "train_rows", "val_rows", "approx_tokens", *[F.to_json(c).alias(c) for c in ("by_slice", "by_license", "sources")], "format", "policy", "scale")
 
 
 def chat_splits(spark: SparkSession, sf: str) -> DataFrame:
     """The build written as JSON lines and read back, both splits."""
-    built, out = build(spark, sf), f"{scratch.root(spark)}/grainmill-chat-{uuid.uuid4().hex}"
+    built = scratch.keep(build(spark, sf).select("messages", "meta", "split"), "built")
+    out = f"{scratch.root(spark)}/grainmill-chat-{uuid.uuid4().hex}"
     for part in ("train", "val"):
         sinks.json_lines(built.where(F.col("split") == part).select("messages", "meta"), f"{out}.{part}.jsonl")
     rows = readers.chat_splits(spark, f"{out}.train.jsonl", f"{out}.val.jsonl")
@@ -134,7 +143,7 @@ def chat_splits(spark: SparkSession, sf: str) -> DataFrame:
 
 def first_match(spark: SparkSession, sf: str) -> DataFrame:
     """The first row of a slice in shuffled order."""
-    found = readers.first_match(build(spark, sf).select("doc_id", "place", F.col("meta.slice").alias("slice")), F.col("slice") == "fr", ["place"])
+    found = readers.first_match(build(spark, sf, "meta").select("doc_id", "place", F.col("meta.slice").alias("slice")), F.col("slice") == "fr", ["place"])
     return spark.createDataFrame([found], "doc_id long, place long, slice string")
 
 
@@ -333,8 +342,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_slices": fold_slices,
     "augment_anti_join": augment_anti_join,
     "card_by_slice": card_by_slice,
-    "card_by_license": lambda spark, sf: card.by_license(build(spark, sf)),
-    "card_totals": lambda spark, sf: card.totals(build(spark, sf)),
+    "card_by_license": lambda spark, sf: card.by_license(build(spark, sf, "meta")),
+    "card_totals": lambda spark, sf: card.totals(_sized(spark, sf), F.col("n_chars")),
     "chat_json": chat_json,
     "card_row": card_row,
     "chat_splits": chat_splits,

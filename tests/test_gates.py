@@ -7,7 +7,9 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from grainmill.functions import arrays, text
+from grainmill.plans import catalogue
 from grainmill.plans import twins as q
+from grainmill.sources import scratch
 from test_whole_tables import twin
 
 ODD = [
@@ -43,3 +45,14 @@ def test_a_story_that_shrinks_is_not_left_out_early(spark):
     assert kept == {0: True, 1: False, 2: True, 3: True, 4: True}
     short = rows.where(F.length(text.detokenize("t")) <= 8000).select("i").collect()
     assert {r["i"] for r in short} <= {i for i, k in kept.items() if k}
+
+
+def test_the_build_moves_no_text_that_is_not_asked_for(spark, small, monkeypatch):
+    kept, keep = [], scratch.keep
+    monkeypatch.setattr(scratch, "keep", lambda df, *a: kept.append(df.columns) or keep(df, *a))
+    for name in ("card_by_slice", "card_by_license", "card_totals", "card_row", "first_match", "shuffle_split", "stride_sample"):
+        catalogue.QUERIES[name](spark, small)
+    assert len(kept) == 7 and not any({"text", "assistant", "messages"} & set(c) for c in kept)
+    catalogue.chat_splits(spark, small)
+    # Both splits are written from one table, so places are found once.
+    assert len(kept) == 9 and set(kept[8]) == {"messages", "meta", "split"}
